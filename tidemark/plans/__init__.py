@@ -1,3 +1,6 @@
 """Registered queries."""
 
-QUERIES, ORACLE_SQL = {}, {}
+from tidemark.plans import aggregates, alignment  # noqa: F401
+from tidemark.plans.registry import COVERS, ORACLE_SQL, QUERIES
+
+__all__ = ["COVERS", "ORACLE_SQL", "QUERIES"]
