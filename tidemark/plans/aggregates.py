@@ -216,7 +216,7 @@ WITH o AS (SELECT l_orderkey AS k, count(*) AS support, avg(1 - l_discount) AS c
 p AS (SELECT o_orderkey AS k, o_totalprice AS prior, CASE WHEN o_orderstatus = 'F' THEN 3 ELSE 1 END AS views FROM orders)
 SELECT k, round(conf * least(support, 3) / 3 * exp(-err / 10) * least(1, angle / 5) * exp(-lag / 33.3), 8) AS quality,
   CASE WHEN o.k IS NOT NULL AND p.k IS NOT NULL THEN 3 WHEN o.k IS NOT NULL THEN 1 WHEN views >= 2 THEN 2 ELSE 0 END AS evidence,
-  round(CASE WHEN o.k IS NOT NULL AND p.k IS NOT NULL THEN (geo * conf + prior * 0.25) / (conf + 0.25) WHEN o.k IS NOT NULL THEN geo WHEN views >= 2 THEN prior END, 2) AS fused,
+  round(CASE WHEN o.k IS NOT NULL AND p.k IS NOT NULL THEN (geo * conf + prior * 0.25) / (conf + 0.25) WHEN o.k IS NOT NULL THEN geo WHEN views >= 2 THEN prior END, 6) AS fused,
   round(10 * CASE WHEN o.k IS NULL THEN 1 ELSE 0 END + coalesce(err / 25, 0) + coalesce(angle / 8, 0), 6) AS severity
 FROM o FULL JOIN p USING (k)
 """)
@@ -232,7 +232,7 @@ def fuse_quality(spark: SparkSession, d: str) -> DataFrame:
     evidence = F.when(measured & prior, 3).when(measured, 1).when(F.col("views") >= 2, 2).otherwise(0)
     fused = F.when(measured & prior, F.expr("(geo * conf + prior * 0.25D) / (conf + 0.25D)")).when(measured, F.col("geo")).when(F.col("views") >= 2, F.col("prior"))
     severity = 10 * F.when(measured, 0).otherwise(1) + F.coalesce(F.col("err") / 25, F.lit(0.0)) + F.coalesce(F.col("angle") / 8, F.lit(0.0))
-    return j.select("k", F.round(quality, 8).alias("quality"), evidence.alias("evidence"), F.round(fused, 2).alias("fused"), F.round(severity, 6).alias("severity"))
+    return j.select("k", F.round(quality, 8).alias("quality"), evidence.alias("evidence"), F.round(fused, 6).alias("fused"), F.round(severity, 6).alias("severity"))
 
 
 @query("AG-24", sql="SELECT label, CAST(i AS INTEGER) AS i, round(median(v), 6) AS med FROM (SELECT label, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings) GROUP BY 1, 2")
