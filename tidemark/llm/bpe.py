@@ -6,9 +6,9 @@ automaton over tokens whose state is the last token: the transition from a to b
 while x was the right edge of a and y the left edge of b. Its edges are looked up in the merge table along the two edges
 and kept, so the table fills with the transitions that texts use.
 
-A pre-split word has exactly one path whose labels spell it. It is found from the left: for each end of a prefix, the
-tokens that end there are read off a trie of reversed tokens, and the one that can follow the state reached before it is
-taken. Decoding emits the labels.
+A pre-split word has exactly one path whose labels spell it. It is walked from the left: of the tokens that begin at a
+place (read off a trie) the longest that can follow the state is taken, and a place that no path leads on from is marked
+and never entered again, so a word costs its tokens' letters and a few steps back. Decoding emits the labels.
 """
 
 from __future__ import annotations
@@ -59,14 +59,14 @@ class Automaton:
             self.left[w] = [(t, min(end, time)) for t, end in self.left.get(u, [(u, never)])] + [(w, never)]
         self.never, self.born = never, born
         self.edges = Memo(self._follows, 2_000_000)
-        # reversed trie: (node, letter) -> node; node -> token
-        self.step: dict[tuple[int, str], int] = {}
-        self.ends: dict[int, str] = {}
+        # the tokens' trie: a node is its children by letter and the token that ends there
+        root: list = [{}, None]
+        self.trie: dict = root[0]
         for token in sorted({*born, *(t for m in merges for t in m), *(t for t in vocab if len(t.removesuffix(suffix) if suffix else t) == 1)}):
-            node = 0
-            for letter in self.letters(token)[::-1]:
-                node = self.step.setdefault((node, letter), len(self.step) + 1)
-            self.ends[node] = token
+            node = root
+            for letter in self.letters(token):
+                node = node[0].setdefault(letter, [{}, None])
+            node[1] = token
 
     def letters(self, token: str) -> list[str]:
         """The letters of a token; the word end belongs to the last one."""
@@ -94,28 +94,36 @@ class Automaton:
             return []
         letters = list(word)
         letters[-1] += self.suffix
-        n = len(letters)
-        state: list[str | None] = [None] * (n + 1)
-        back = [0] * (n + 1)
-        step, ends, edges = self.step, self.ends, self.edges
-        for end in range(1, n + 1):
-            node, at = 0, end
-            while at:
-                at -= 1
-                node = step.get((node, letters[at]))
+        n, at, state = len(letters), 0, None
+        trie, edges = self.trie, self.edges
+        path: list[tuple] = []
+        dead: set[int] = set()
+        while True:
+            children, found, end = trie, [], at
+            for letter in letters[at:] if at else letters:
+                node = children.get(letter)
                 if node is None:
                     break
-                token = ends.get(node)
-                if token is not None and (at == 0 or (state[at] is not None and edges[state[at], token])):
-                    state[end], back[end] = token, at
-                    break
-        path, at = [], n
-        while at:
-            if state[at] is None:
-                return []
-            path.append(state[at])
-            at = back[at]
-        return path[::-1]
+                end += 1
+                children, token = node
+                if token is not None:
+                    found.append((token, end))
+            while True:
+                while found:
+                    token, end = found.pop()
+                    if end not in dead and (state is None or edges[state, token]):
+                        break
+                else:
+                    if not path:
+                        return []
+                    dead.add(at)
+                    at, state, found = path.pop()[1:]
+                    continue
+                break
+            path.append((token, at, state, found))
+            if end == n:
+                return [x[0] for x in path]
+            at, state = end, token
 
 
 #: White space as Unicode has it, written out: str.isspace() also takes four separators that tokenizers keep.
@@ -155,11 +163,17 @@ class Tokenizer:
     def pieces(self, unit: str) -> list[str]:
         """The pre-split words of a unit (a run without inner white space, or of white space)."""
         if self.lower:
-            # letters are lowered one by one, so a final sigma is like any other
-            unit = unicodedata.normalize("NFC", unit).replace("\u03a3", "\u03c3").lower()
+            if unit.isascii():
+                unit = unit.lower()
+            else:  # letters are lowered one by one, so a final sigma is like any other
+                unit = unicodedata.normalize("NFC", unit).replace("\u03a3", "\u03c3").lower()
+        if unit.isalpha() or unit[0] == " " and unit[1:].isalpha():
+            return [unit]
         return self.split.findall(unit)
 
     def word(self, piece: str) -> list[str]:
+        if piece.isascii() and piece.isalnum():
+            return self.automaton.encode(piece)  # these bytes are their own letters
         letters = self.letters
         return self.automaton.encode("".join([letters[b] for b in piece.encode("utf-8", "surrogatepass")]))
 
@@ -217,13 +231,23 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, keep_ids: bool = True) ->
 
     def run(batches):
         tok = tokenizer_of(content.value)
-        vocab, special = tok.automaton.vocab, tok.special
+        special = tok.special
+        numbers = {t: str(i) for t, i in tok.automaton.vocab.items()}
+
+        def of_piece(piece):
+            labels = tok.word(piece)
+            return len(labels), " ".join([numbers[t] for t in labels]), " ".join(labels)
+
+        # a unit is a word with its marks: units are met often, and the words inside new ones often are known
+        pieces = Memo(of_piece, 150_000)
 
-        def entry(unit):
-            labels = tok.labels(unit)
-            return len(labels), " ".join([str(special[t] if t in special else vocab[t]) for t in labels]), " ".join(labels)
+        def of_unit(unit):
+            found = [pieces[p] for p in tok.pieces(unit)]
+            if len(found) == 1:
+                return found[0]
+            return sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
 
-        memo = Memo(entry, 150_000)
+        memo = Memo(of_unit, 100_000)
         for b in batches:
             n, ids, decoded = [], [], []
             for t in b.column(1):

@@ -56,7 +56,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024) -> Dat
     def run(batches):
         content, lengths = table.value
         tok = tokenizer_of(content)
-        tiers = _TwoTiers(lengths, Memo(lambda u: len(tok.labels(u)), 300_000))
+        pieces = Memo(lambda p: len(tok.word(p)), 200_000)
+        tiers = _TwoTiers(lengths, Memo(lambda u: sum([pieces[p] for p in tok.pieces(u)]), 200_000))
         for b in batches:
             n, size = [], []
             for t in b.column(1):
