@@ -65,6 +65,28 @@ def triangulate(projections: np.ndarray, xy: np.ndarray, confidence: np.ndarray,
     return (point if (q[:, 2] > 0).all() else None), int(use.sum()), residuals
 
 
+def triangulate_many(projections: np.ndarray, xy: np.ndarray, confidence: np.ndarray, least: float = 0.3, huber: float = 10.0, rounds: int = 2):
+    """triangulate() for n points at once: xy (n,V,2), confidence (n,V) -> points (n,3; NaN where there is none),
+    support (n), residuals (n,V). Unusable views get no weight, so all points share one batched decomposition."""
+    use = np.isfinite(xy).all(axis=2) & np.isfinite(confidence) & (confidence >= least)
+    z = np.where(use[:, :, None], xy, 0.0)
+    base = np.where(use, confidence, 0.0)
+    weight, points, error, ahead = base, None, None, None
+    lines = np.concatenate([z[:, :, :1] * projections[:, 2] - projections[:, 0], z[:, :, 1:] * projections[:, 2] - projections[:, 1]], axis=1)
+    for _ in range(rounds + 1):
+        h = np.linalg.svd(lines * np.concatenate([weight, weight], axis=1)[:, :, None])[2][:, -1]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            points = h[:, :3] / np.where(np.abs(h[:, 3:]) < 1e-12, np.nan, h[:, 3:])
+            q = np.einsum("vij,nj->nvi", projections[:, :, :3], points) + projections[:, :, 3]
+            error = np.hypot(q[:, :, 0] / q[:, :, 2] - z[:, :, 0], q[:, :, 1] / q[:, :, 2] - z[:, :, 1])
+            weight = np.where(use, base * np.where(error <= huber, 1.0, huber / np.maximum(error, 1e-12)), 0.0)
+        weight = np.nan_to_num(weight)
+        ahead = ((q[:, :, 2] > 0) | ~use).all(axis=1)
+    support = use.sum(axis=1)
+    points[(support < 2) | ~ahead] = np.nan
+    return points, support, np.where(use & (support >= 2)[:, None], error, np.nan)
+
+
 def similarity(source: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None, rounds: int = 4):
     """(scale, rotation, translation) that carries source to target, reweighted against outliers by Huber over MAD."""
     weight = np.ones(len(source)) if weight is None else np.asarray(weight, float)

@@ -32,17 +32,16 @@ def triangulate_points(spark: SparkSession, d: str) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            rows = []
-            for vec, e in zip(pdf["vec_id"], pdf["embedding"]):
-                points = np.asarray(e, float)[:63].reshape(21, 3) + [0, 0, 5]
-                for j, x in enumerate(points):
-                    q = views @ np.append(x, 1.0)
-                    xy = q[:, :2] / q[:, 2:]
-                    if j % 5 == 0:
-                        xy[2] += 40
-                    p, support, residual = K.triangulate(views, xy, np.array([0.9, 0.8, 0.7]))
-                    rows.append((vec, j, support, *(p if p is not None else [None] * 3), float(np.nanmedian(residual)), float(np.linalg.norm(p - x)) if p is not None else None))
-            yield pd.DataFrame(rows, columns=["vec_id", "joint", "support", "x", "y", "z", "residual", "error"])
+            if not len(pdf):
+                continue
+            truth = np.stack(pdf["embedding"].to_numpy()).astype(float)[:, :63].reshape(-1, 3) + [0, 0, 5]
+            joint = np.tile(np.arange(21), len(pdf))
+            q = np.einsum("vij,nj->nvi", views[:, :, :3], truth) + views[:, :, 3]
+            xy = q[:, :, :2] / q[:, :, 2:]
+            xy[joint % 5 == 0, 2] += 40
+            p, support, residual = K.triangulate_many(views, xy, np.broadcast_to([0.9, 0.8, 0.7], xy.shape[:2]))
+            out = pd.DataFrame({"vec_id": np.repeat(pdf["vec_id"].to_numpy(), 21), "joint": joint.astype(np.int32), "support": support.astype(np.int32)})
+            yield out.assign(x=p[:, 0], y=p[:, 1], z=p[:, 2], residual=np.nanmedian(residual, axis=1), error=np.linalg.norm(p - truth, axis=1))
 
     return load(spark, d, "embeddings").select("vec_id", "embedding").mapInPandas(run, "vec_id long, joint int, support int, x double, y double, z double, residual double, error double")
 

@@ -133,7 +133,7 @@ def build_manifests(spark: SparkSession, root: str, schema: T.StructType) -> Dat
 def valid_workloads(df: DataFrame, keys: list[str], valid: str, count: int, sums: list[str]) -> tuple[DataFrame, DataFrame]:
     """Groups all of whose `count` rows are valid, with their sums; and the invalid rows."""
     ok = df.where(F.coalesce(F.expr(valid), F.lit(False)))
-    return ok.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums]).where(F.col("n") == count).drop("n"), df.where(~F.coalesce(F.expr(valid), F.lit(False)))
+    return ok.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.sum(c).alias(c) for c in sums]).where(F.col("__n") == count).drop("__n"), df.where(~F.coalesce(F.expr(valid), F.lit(False)))
 
 
 def with_timestamps(frames: DataFrame, times: DataFrame, keys: list[str]) -> DataFrame:

@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -138,4 +137,4 @@ def with_retries(attempt: Callable[[int], bool], most: int) -> tuple[int, bool]:
     return most, False
 
 
-STATE = T.StructType.fromDDL("item string, ord int, status string, attempts int, not_before long")
+STATE = "item string, ord int, status string, attempts int, not_before long"
