@@ -149,3 +149,40 @@ def test_flux_and_jpeg():
     head = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08\x00\x10\x00\x20\x01\x01\x11\x00\xff\xd9"
     assert K.jpeg_size(head) == (32, 16)
     assert K.jpeg_size(b"no") is None
+
+
+def test_bundle_adjustment_finds_the_scene():
+    rng = np.random.default_rng(13)
+    truth = rng.normal(size=(21, 3)) * 0.5 + [0, 0, 5]
+    poses = [(K.rotation(np.array([0, 0.1 * c, 0])), np.array([-0.5 * c, 0.0, 0.1 * c])) for c in range(3)]
+    k = np.broadcast_to(np.array([[1000.0, 0, 320], [0, 1000, 240], [0, 0, 1]]), (3, 3, 3))
+    camera, point = np.repeat(np.arange(3), 21), np.tile(np.arange(21), 3)
+    x = np.einsum("nij,nj->ni", np.array([p[0] for p in poses])[camera], truth[point]) + np.array([p[1] for p in poses])[camera]
+    pixel = 1000 * x[:, :2] / x[:, 2:] + [320, 240]
+    moved = [poses[0]] + [(K.rotation(np.array([0.01, -0.02, 0.01])) @ r, t + 0.02) for r, t in poses[1:]]
+    off = truth + rng.normal(size=truth.shape) * 0.02
+    out, points, used, before, after, converged = K.two_stage_adjust(moved, off, k, camera, point, pixel)
+    assert np.median(before) > 3 and after.max() < 0.01 and used.all() and converged
+    assert np.linalg.norm(out[0][1] - poses[0][1]) == 0
+    scale, r, s = K.similarity(points, truth)
+    assert np.abs(scale * points @ r.T + s - truth).max() < 1e-2
+    pixel[3] += 80
+    _, _, used, before, after, _ = K.two_stage_adjust(moved, off, k, camera, point, pixel)
+    assert not used[3] and np.median(after[used]) < 0.1 * np.median(before)
+
+
+def test_derivatives():
+    rng = np.random.default_rng(14)
+    pose, p = [(K.rotation(rng.normal(size=3) * 0.2), rng.normal(size=3) * 0.1)], np.array([[0.2, -0.1, 4.0]])
+    k = np.array([[[900.0, 0, 300], [0, 950, 200], [0, 0, 1]]])
+    zero = np.array([0])
+    e, by_pose, by_point = K._residuals(pose, p, k, zero, zero, np.zeros((1, 2)))
+    for i in range(3):
+        d = np.zeros(3)
+        d[i] = 1e-6
+        turned = K._residuals([(K.rotation(d) @ pose[0][0], pose[0][1])], p, k, zero, zero, np.zeros((1, 2)))[0]
+        shifted = K._residuals([(pose[0][0], pose[0][1] + d)], p, k, zero, zero, np.zeros((1, 2)))[0]
+        moved = K._residuals(pose, p + d, k, zero, zero, np.zeros((1, 2)))[0]
+        np.testing.assert_allclose((turned - e)[0] / 1e-6, by_pose[0, :, i], atol=0.05)
+        np.testing.assert_allclose((shifted - e)[0] / 1e-6, by_pose[0, :, 3 + i], atol=0.05)
+        np.testing.assert_allclose((moved - e)[0] / 1e-6, by_point[0, :, i], atol=0.05)

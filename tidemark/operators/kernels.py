@@ -292,3 +292,91 @@ def jpeg_size(head: bytes) -> tuple[int, int] | None:
     return None
 
 
+
+
+def rotation(v: np.ndarray) -> np.ndarray:
+    """The rotation about v by its length."""
+    angle = np.linalg.norm(v)
+    k = np.array([[0, -v[2], v[1]], [v[2], 0, -v[0]], [-v[1], v[0], 0]])
+    if angle < 1e-9:
+        return np.eye(3) + k
+    return np.eye(3) + np.sin(angle) / angle * k + (1 - np.cos(angle)) / angle**2 * k @ k
+
+
+def _residuals(poses, points, intrinsics, camera, point, pixel):
+    """Residuals (n,2) and their derivatives by the camera's motion (n,2,6) and the point (n,2,3)."""
+    r, t = np.array([p[0] for p in poses])[camera], np.array([p[1] for p in poses])[camera]
+    turned = np.einsum("nij,nj->ni", r, points[point])
+    x = turned + t
+    f, c = intrinsics[camera][:, [0, 1], [0, 1]], intrinsics[camera][:, [0, 1], [2, 2]]
+    z = np.maximum(x[:, 2:], 1e-9)
+    error = f * x[:, :2] / z + c - pixel
+    by_x = np.zeros((len(camera), 2, 3))
+    by_x[:, 0, 0], by_x[:, 1, 1] = f[:, 0] / z[:, 0], f[:, 1] / z[:, 0]
+    by_x[:, :, 2] = -f * x[:, :2] / z**2
+    cross = np.zeros((len(camera), 3, 3))  # a small turn w moves R p by w x R p
+    cross[:, 0, 1], cross[:, 0, 2], cross[:, 1, 2] = turned[:, 2], -turned[:, 1], turned[:, 0]
+    cross -= cross.transpose(0, 2, 1)
+    return error, np.concatenate([by_x @ cross, by_x], axis=2), by_x @ r
+
+
+def bundle_adjust(poses, points, intrinsics, camera, point, pixel, huber: float = 10.0, prior: float = 1.0, rounds: int = 60):
+    """Robust least squares over all cameras but the first (the gauge) and all points by damped steps.
+
+    poses: [(rotation, translation)]; camera, point (n): what each pixel (n,2) observes. A weak prior holds the cameras
+    near their start, which also holds the scale. Returns (poses, points, residual norms, converged).
+    """
+    poses, points = [(r.copy(), t.copy()) for r, t in poses], points.copy()
+    start = [t.copy() for _, t in poses]
+    cameras, count, damping = len(poses) - 1, len(points), 1e-3
+    size = 6 * cameras + 3 * count
+
+    def cost(p, x):
+        norm = np.linalg.norm(_residuals(p, x, intrinsics, camera, point, pixel)[0], axis=1)
+        robust = np.where(norm <= huber, norm**2, 2 * huber * norm - huber**2).sum()
+        return robust + prior * sum(((t - s) ** 2).sum() for (_, t), s in zip(p, start)), norm
+
+    now, norm = cost(poses, points)
+    converged = False
+    for _ in range(rounds):
+        error, by_pose, by_point = _residuals(poses, points, intrinsics, camera, point, pixel)
+        w = np.sqrt(np.where(norm <= huber, 1.0, huber / np.maximum(norm, 1e-12)))
+        j = np.zeros((len(camera), 2, size))
+        free, every = np.flatnonzero(camera > 0), np.arange(len(camera))
+        j[free[:, None, None], np.arange(2)[None, :, None], (6 * (camera[free] - 1))[:, None, None] + np.arange(6)] = by_pose[free]
+        j[every[:, None, None], np.arange(2)[None, :, None], (6 * cameras + 3 * point)[:, None, None] + np.arange(3)] = by_point
+        j, e = (j * w[:, None, None]).reshape(-1, size), (error * w[:, None]).ravel()
+        h, g = j.T @ j, j.T @ e
+        for k in range(cameras):
+            at = slice(6 * k + 3, 6 * k + 6)
+            h[at, at] += prior * np.eye(3)
+            g[at] += prior * (poses[k + 1][1] - start[k + 1])
+        while damping < 1e12:
+            step = -np.linalg.solve(h + damping * np.diag(np.diag(h) + 1e-12), g)
+            moved = [poses[0]] + [(rotation(step[6 * k : 6 * k + 3]) @ poses[k + 1][0], poses[k + 1][1] + step[6 * k + 3 : 6 * k + 6]) for k in range(cameras)]
+            placed = points + step[6 * cameras :].reshape(count, 3)
+            after, norms = cost(moved, placed)
+            if after <= now:
+                break
+            damping *= 10
+        else:
+            break
+        gain, poses, points, now, norm, damping = now - after, moved, placed, after, norms, max(damping / 10, 1e-12)
+        if gain <= 1e-7 * max(now, 1e-9):
+            converged = True
+            break
+    return poses, points, norm, converged
+
+
+def two_stage_adjust(poses, points, intrinsics, camera, point, pixel):
+    """Stages with ever narrower losses; between them, observations beyond a robust limit of the residuals are put aside
+    (and taken in again if they fit). Returns (poses, points, used, residual norms before, after, converged)."""
+    norms = lambda: np.linalg.norm(_residuals(poses, points, intrinsics, camera, point, pixel)[0], axis=1)
+    before, used, converged = norms(), np.ones(len(camera), bool), False
+    for huber, floor in ((10.0, 2.0), (3.0, 0.5), (1.0, 0.1)):
+        poses, points, _, converged = bundle_adjust(poses, points, intrinsics, camera[used], point[used], pixel[used], huber)
+        norm = norms()
+        middle = np.median(norm[used])
+        fits = norm <= middle + 5 * 1.4826 * max(float(np.median(np.abs(norm[used] - middle))), floor)
+        used = fits & (np.bincount(point[fits], minlength=len(points)) >= 2)[point]
+    return poses, points, used, before, norms(), converged

@@ -158,3 +158,27 @@ def cross_correlations(spark: SparkSession, d: str) -> DataFrame:
     return K.grouped(_daily(spark, d), ["user_id"], run, "user_id long, event_type string, lag int, r double, flux double")
 
 
+
+
+@query("GR-02", "CN-11")
+def bundle_adjustment(spark: SparkSession, d: str) -> DataFrame:
+    """Cameras and joints of each vector moved off and adjusted in two stages from their observations (some of them bad)."""
+    k = np.broadcast_to(np.array([[1000.0, 0, 320], [0, 1000, 240], [0, 0, 1]]), (3, 3, 3))
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for vec, e in zip(pdf["vec_id"], pdf["embedding"]):
+                truth = np.asarray(e, float)[:63].reshape(21, 3) + [0, 0, 5]
+                poses = [(K.rotation(np.array([0, 0.1 * c, 0])), np.array([-0.5 * c, 0.0, 0.1 * c])) for c in range(3)]
+                camera, point = np.repeat(np.arange(3), 21), np.tile(np.arange(21), 3)
+                x = np.einsum("nij,nj->ni", np.array([p[0] for p in poses])[camera], truth[point]) + np.array([p[1] for p in poses])[camera]
+                pixel = 1000 * x[:, :2] / x[:, 2:] + [320, 240]
+                pixel[::17] += 60
+                moved = [poses[0]] + [(K.rotation(np.array([0.01, -0.02, 0.01]) * c) @ poses[c][0], poses[c][1] + 0.02 * c) for c in (1, 2)]
+                _, _, used, before, after, converged = K.two_stage_adjust(moved, truth + 0.02, k, camera, point, pixel)
+                rows.append((vec, int((~used).sum()), float(np.median(before)), float(np.median(after[used])), bool(converged)))
+            yield pd.DataFrame(rows, columns=["vec_id", "rejected", "before_px", "after_px", "converged"])
+
+    vectors = load(spark, d, "embeddings").select("vec_id", "embedding")
+    return vectors.repartition("vec_id").mapInPandas(run, "vec_id long, rejected int, before_px double, after_px double, converged boolean")
