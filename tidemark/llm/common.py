@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,15 +27,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, release: bool = True) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it again.
 
-    Executors that are lost later cost nothing, as the rows are in the shared store.
+    Executors that are lost later cost nothing, as the rows are in the shared store. release: let the driver collect its
+    garbage, upon which Spark removes the shuffle files of what is written now.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that cut() wrote and nothing will read again."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.written_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

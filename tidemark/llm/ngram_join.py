@@ -5,15 +5,15 @@ symmetric difference has at most d = floor((|A| + |B|) * (1 - t) / (1 + t)) memb
 to one of 64 * (d + 1) bits and flips it, so that the Hamming distance of two sketches is at most their symmetric
 difference. Of its d + 1 blocks of 64 bits at least one is therefore equal in both (pigeonhole); more precisely, around
 the ring of blocks there is one that is equal while it and its successor together differ in one bit at most (cycle
-lemma). Blocks with under three bits set, which texts would share by chance, are joined with the successor's block and
+lemma). Blocks with under two bits set, which texts would share by chance, are joined with the successor's block and
 each of its one-bit deletions. Documents are dealt by (size band, block, content), never by pairs of documents.
 
 Stages, each of which is bounded in memory:
 
 1. set ids: every distinct set gets a 128-bit id; copies collapse into classes before anything is compared;
 2. block rows (key, set id), shuffled once; keys with a single set are dropped in a streaming pass over sorted rows;
-3. in each remaining bucket, the member with the most company is the pivot; (member, pivot) pairs are verified on the
-   exact sets and the links give components;
+3. in each remaining bucket, the member with the most company is the pivot; (member, pivot) pairs whose sizes and short
+   sketches allow a link are verified on the exact sets, and the links give components;
 4. buckets whose members are still in different components get all their pairs across components verified, unless the
    triangle inequality of the Jaccard distance rules a pair out. That makes the result exact: every pair that links is
    either verified or already connected.
@@ -25,6 +25,7 @@ pivots are plain equi-joins that adaptive execution splits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +33,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, cut, text_or_empty
+from tidemark.llm.common import cut, drop
 
 U = np.uint64
 _M1, _M2, _GOLD = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 _P = U(0xD6E8FEB86659FD93)
 #: A block with fewer bits than this is joined with its successor.
-SPARSE = 3
+SPARSE = 2
 #: Bits of the filter that keeps documents without candidates out of the verification; 8 MB at any input size.
 FILTER_BITS = 26
 BATCH_ROWS = 200_000
+#: A second, short sketch of each set, which rules most chance candidates out before any set is fetched.
+SKETCH_WORDS = 32
+SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
 
 
 def times(k: int, factor: np.uint64) -> np.uint64:
@@ -56,26 +60,97 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def word_memo() -> Memo:
-    return Memo(xxhash.xxh3_64_intdigest)
+#: A random 64-bit value for each byte; A-Z have those of a-z. Fixed by the seed, so that every worker has the same.
+_BYTE = np.random.default_rng(20240607).integers(0, 1 << 64, 256, U, endpoint=False)
+_BYTE[65:91] = _BYTE[97:123]
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, *range(9, 14)]] = True
+_P_INVERSE = U(pow(int(_P), -1, 1 << 64))
+#: Bytes of text that are hashed at once (a longer text by itself).
+CHUNK = 1 << 18
 
 
-def shingle_set(text: str | None, width: int, memo: Memo) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of the text's word shingles; A-Z count as a-z.
+class _Powers:
+    """Powers of a factor modulo 2 ** 64, as many as were asked for."""
 
-    A text of fewer words than the width is one shingle, a text without words has none.
-    """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
-    if not n:
-        return np.empty(0, U)
-    h = np.fromiter(map(memo.__getitem__, words), U, n)
-    k = min(width, n)
-    acc = h[: n - k + 1].copy()
+    def __init__(self, factor: np.uint64):
+        self.factor, self.values = factor, np.ones(1, U)
+
+    def upto(self, n: int) -> np.ndarray:
+        while len(self.values) < n:
+            self.values = np.concatenate([self.values, self.values * (self.values[-1] * self.factor if len(self.values) > 1 else self.factor)])
+        return self.values[:n]
+
+
+def _wrapping(function):
+    def run(*a):
+        with np.errstate(over="ignore"):
+            return function(*a)
+
+    return run
+
+
+_up, _down = _Powers(_P), _Powers(_P_INVERSE)
+
+
+@_wrapping
+def _word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of texts that lie one after another, and where each text's words begin. A word's hash is a
+    polynomial of its bytes' values, read off running sums."""
+    n = len(data)
+    blank = _BLANK[data]
+    edge = np.zeros(n + 1, bool)
+    edge[bounds] = True
+    word = ~blank
+    before = np.ones(n, bool)
+    before[1:] = blank[:-1]
+    starts = np.flatnonzero(word & (before | edge[:n]))
+    after = np.ones(n, bool)
+    after[:-1] = blank[1:]
+    ends = np.flatnonzero(word & (after | edge[1:])) + 1
+    sums = np.zeros(n + 1, U)
+    np.cumsum(_BYTE[data] * _up.upto(n), out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * _down.upto(n)[starts] + (ends - starts).astype(U) * _GOLD)
+    return hashes, np.searchsorted(starts, bounds)
+
+
+@_wrapping
+def _shingles(h: np.ndarray, k: int) -> np.ndarray:
+    acc = h[: len(h) - k + 1].copy()
     for i in range(1, k):
         acc *= _P
-        acc += h[i : n - k + 1 + i]
-    return np.unique(mix(acc + times(k, _GOLD)))
+        acc += h[i : len(h) - k + 1 + i]
+    return mix(acc + times(k, _GOLD))
+
+
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """For each text, the sorted distinct 64-bit hashes of its word shingles; A-Z count as a-z.
+
+    A text of fewer words than the width is one shingle, a text without words (or null) has none.
+    """
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    valid = texts.is_valid().to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
+        bounds = offsets[at : upto + 1] - offsets[at]
+        hashes, first = _word_hashes(data[offsets[at] : offsets[upto]], bounds)
+        whole = _shingles(hashes, width) if len(hashes) >= width else hashes[:0]
+        for i in range(upto - at):
+            lo, hi = int(first[i]), int(first[i + 1])
+            if hi == lo or not valid[at + i]:
+                yield hashes[:0]
+            elif hi - lo < width:
+                yield _shingles(hashes[lo:hi], hi - lo)
+            else:
+                yield np.unique(whole[lo : hi - width + 1])
+        at = upto
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    return next(shingle_sets(pa.array([text], pa.string()), width))
 
 
 class Bands:
@@ -106,12 +181,14 @@ class Bands:
         return self.difference(self.high[band] + self.high[band + 1]) + 1
 
 
+@_wrapping
 def parity_sketch(members: np.ndarray, blocks: int) -> np.ndarray:
     """64 * blocks parity bits as words. Hamming distance never exceeds the symmetric difference."""
     bits = np.bincount((members % U(64 * blocks)).astype(np.int64), minlength=64 * blocks) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(U)
 
 
+@_wrapping
 def block_keys(members: np.ndarray, bands: Bands) -> list[np.ndarray]:
     """The bucket keys of a set: one for each block, more for sparse blocks. Equal sets need no bucket."""
     own, out = bands.of(len(members)), []
@@ -143,40 +220,41 @@ def _set_id(members: np.ndarray) -> tuple[int, int]:
 
 
 def set_ids(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, text_hash, n (set size), h1 and h2 (the set's id, 0 for the empty set)."""
+    """doc_id, text_hash, n (set size), h1 and h2 (the set's id, 0 for the empty set), s0 .. s31 (a sketch of 2,048 bits)."""
 
     def run(batches):
-        memo = word_memo()
         for b, texts in _texts(batches):
-            rows = []
-            for t in texts:
-                s = shingle_set(t.as_py(), width, memo)
-                rows.append((len(s), *(_set_id(s) if len(s) else (0, 0))))
-            n, h1, h2 = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64())], ["doc_id", "text_hash", "n", "h1", "h2"])
+            n, ids, sketches = [], [], []
+            for s in shingle_sets(texts, width):
+                n.append(len(s))
+                ids.append(_set_id(s) if len(s) else (0, 0))
+                sketches.append(parity_sketch(s, SKETCH_WORDS))
+            if n:
+                h, k = np.array(ids, np.int64), np.array(sketches).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], ["doc_id", "text_hash", "n", "h1", "h2", *SKETCH])
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long")
+    kinds = ", ".join(f"{c} long" for c in SKETCH)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long, {kinds}")
 
 
 def block_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(key, h1) for every block of every set; a task emits a set that it meets again only once while it remembers it."""
 
     def run(batches):
-        memo, bands, seen = word_memo(), Bands(num, den), set()
+        bands, seen = Bands(num, den), set()
         keys, ids, sizes, held = [], [], [], 0
 
         def out():
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(ids, np.int64), sizes))], ["key", "h1"])
 
         for _, texts in _texts(batches):
-            for t in texts:
-                s = shingle_set(t.as_py(), width, memo)
+            for s in shingle_sets(texts, width):
                 if not len(s):
                     continue
                 h1, h2 = _set_id(s)
                 if (h1, h2) in seen:
                     continue
-                if len(seen) >= 200_000:
+                if len(seen) >= 50_000:
                     seen.clear()
                 seen.add((h1, h2))
                 found = block_keys(s, bands)
@@ -243,19 +321,21 @@ def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: i
     """
     spark = docs.sparkSession
     reps = classes.join(wanted, "h1", "left_semi").select("h1", "h2", "rep")
-    reps = cut(reps, "reps")
+    reps = cut(reps, "reps", release=False)
     bitmap = spark.sparkContext.broadcast(_filter_words(spark, reps))
     slot = F.expr(f"shiftrightunsigned(xxhash64(coalesce(doc_id, {_NO_ID}L)), {64 - FILTER_BITS})").alias("slot")
 
     def run(batches):
-        memo, bits = word_memo(), bitmap.value
+        bits = bitmap.value
         for b, texts in _texts(batches):
             slots = b.column(2).to_numpy()
             hit = np.flatnonzero((bits[slots >> 6] >> (slots & 63)) & 1)
-            rows = [(b.column(0)[int(i)].as_py(), shingle_set(texts[int(i)].as_py(), width, memo)) for i in hit]
-            rows = [(d, *_set_id(s), s.tobytes()) for d, s in rows if len(s)]
-            for at in range(0, len(rows), 2000):
-                d, h1, h2, s = zip(*rows[at : at + 2000])
+            for at in range(0, len(hit), 2000):
+                part = pa.array(hit[at : at + 2000])
+                rows = [(d, *_set_id(s), s.tobytes()) for d, s in zip(b.column(0).take(part).to_pylist(), shingle_sets(texts.take(part), width)) if len(s)]
+                if not rows:
+                    continue
+                d, h1, h2, s = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(s, pa.binary())], ["rep", "h1", "h2", "members"])
 
     found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", slot).mapInArrow(run, "rep long, h1 long, h2 long, members binary")
@@ -291,20 +371,45 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Least label of each node's component. nodes: h1, h2, label; edges: a, a2, b, b2. Labels travel along the links
     and along the labels' own nodes until nothing changes; every round is written to the shared folder."""
-    both = cut(edges.select("a", "a2", "b", "b2").union(edges.select("b", "b2", "a", "a2")).distinct(), "edges")
-    labels = cut(nodes.join(both.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct(), ["h1", "h2"], "left_semi"), "labels")
+    both = cut(edges.select("a", "a2", "b", "b2").union(edges.select("b", "b2", "a", "a2")).distinct(), "edges", release=False)
+    labels = cut(nodes.join(both.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct(), ["h1", "h2"], "left_semi"), "labels", release=False)
     while True:
         come = both.join(labels, (both.a == labels.h1) & (both.a2 == labels.h2)).groupBy(F.col("b").alias("h1"), F.col("b2").alias("h2")).agg(F.min("label").alias("come"))
         new = labels.join(come, ["h1", "h2"], "left").select("h1", "h2", F.least("label", "come").alias("label"), F.col("label").alias("was"))
         # shortcut: the least label that any node with the same label has now
         jump = new.groupBy("was").agg(F.min("label").alias("jump"))
         new = new.join(jump, "was").select("h1", "h2", F.least("label", "jump").alias("label"), "was")
-        new = cut(new, "labels")
-        labels = new.select("h1", "h2", "label")
+        last, new = labels, cut(new, "labels", release=False)
+        drop(last)
+        labels = new
         if new.where("label <> was").isEmpty():
+            drop(both)
             return labels
 
 
+def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b) -> a, b, least (a lower bound of the Jaccard distance), candidate: sizes and Hamming distance allow a link."""
+    side = lambda name, p: classes.select(F.col("h1").alias(name), F.col("n").alias(p + "n"), *[F.col(c).alias(p + c) for c in SKETCH])
+    both = pairs.join(side("a", "x_"), "a").join(side("b", "y_"), "b")
+    bits = sum((F.bit_count(F.col("x_" + c).bitwiseXOR(F.col("y_" + c))) for c in SKETCH), F.lit(0))
+    total = F.col("x_n") + F.col("y_n")
+    sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
+    found = both.select("a", "b", bits.alias("bits"), total.alias("total"), sizes.alias("sizes"))
+    return found.select("a", "b", (2 * F.col("bits") / (F.col("total") + F.col("bits"))).alias("least"), (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
+
+
+def _linked(docs: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, before: DataFrame | None, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """The pairs verified on their sets, and the components of all links so far."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
+    sets = cut(member_sets(docs, classes, wanted, width), "sets")
+    checked = cut(verify(pairs, sets, num, den), "checked")
+    drop(sets)
+    links = checked.where("linked").select("a", "a2", "b", "b2")
+    if before is not None:
+        links = links.union(before.where("linked").select("a", "a2", "b", "b2"))
+    return checked, components(nodes, links)
+
+
 def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """One row for each row of docs: doc_id, n_shingles, component_id, set_hash, text_hash.
 
@@ -315,37 +420,42 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     ids = cut(set_ids(docs, width), "set-ids")
-    classes = cut(ids.where("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id").cast("long"), F.lit(_NO_ID)).alias("rep"), F.min("doc_id").alias("label")), "classes")
+    classes = ids.where("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id").cast("long"), F.lit(_NO_ID)).alias("rep"), F.min("doc_id").alias("label"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in SKETCH])
+    classes = cut(classes, "classes")
     shared = cut(shared_blocks(block_rows(docs, width, num, den)), "shared")
 
     company = shared.groupBy("key").agg(F.count("*").alias("company"))
     member = shared.join(company, "key")
     weight = member.groupBy("h1").agg(F.sum("company").alias("weight"))
-    member = cut(shared.join(weight, "h1"), "weighted")
+    member = cut(shared.join(weight, "h1"), "weighted", release=False)
     pivot = member.groupBy("key").agg(F.max(F.struct("weight", "h1")).alias("top")).select("key", F.col("top.h1").alias("b"))
     pairs = member.join(pivot, "key").where("h1 <> b").select(F.col("h1").alias("a"), "b").distinct()
-    pairs = cut(pairs, "pairs")
-    wanted = shared.select("h1").distinct()
-    sets = cut(member_sets(docs, classes, wanted, width), "sets")
-    checked = cut(verify(pairs, sets, num, den), "checked")
-    links = checked.where("linked")
+    near = cut(by_sketch(pairs, classes, num, den), "near")
     nodes = classes.select("h1", "h2", F.coalesce(F.col("label").cast("long"), F.lit(-_NO_ID)).alias("label"))
-    labels = components(nodes, links)
+    checked, labels = _linked(docs, classes, nodes, near.where("candidate").select("a", "b"), None, width, num, den)
 
     # what is left: pairs of a bucket that are in different components
     at = shared.join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", F.coalesce("label", "own").alias("label"))
     open_keys = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    far = checked.groupBy(F.col("a").alias("h1"), F.col("b").alias("pivot")).agg(F.min("distance").alias("distance"))
-    opened = cut(at.join(open_keys, "key", "left_semi").join(pivot.withColumnRenamed("b", "pivot"), "key").join(far, ["h1", "pivot"], "left").select("key", "h1", "label", "pivot", F.coalesce("distance", F.lit(0.0)).alias("distance")), "open")
+    exact = checked.groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    far = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("h1"), F.col("b").alias("pivot"), F.coalesce("distance", "least").alias("lo"), F.coalesce("distance", F.lit(1.0)).alias("hi"))
+    # the sketch folded to 256 bits is a parity sketch too
+    folded = [f"f{i}" for i in range(4)]
+    short = classes.select("h1", "n", *[reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in SKETCH[i::4]]).alias(f) for i, f in enumerate(folded)])
+    opened = at.join(open_keys, "key", "left_semi").join(pivot.withColumnRenamed("b", "pivot"), "key").where("h1 <> pivot").join(far, ["h1", "pivot"]).join(short, "h1").select("key", "h1", "label", "lo", "hi", "n", *folded)
+    opened = cut(opened, "open", release=False)
     x, y = opened.alias("x"), opened.alias("y")
     reach = 1 - num / den + 1e-9
-    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & (F.abs(F.col("x.distance") - F.col("y.distance")) <= reach))
-    more = more.where("x.h1 <> x.pivot and y.h1 <> y.pivot").select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
-    more = cut(more, "more")
+    bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in folded), F.lit(0))
+    within = (F.col("x.lo") - F.col("y.hi") <= reach) & (F.col("y.lo") - F.col("x.hi") <= reach)
+    within = within & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")) & (bits * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num))
+    more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & within)
+    more = more.select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
+    more = cut(by_sketch(more, classes, num, den).where("candidate").select("a", "b"), "more")
     if not more.isEmpty():
-        again = verify(more, sets, num, den).where("linked")
-        links = cut(links.select("a", "a2", "b", "b2").union(again.select("a", "a2", "b", "b2")), "links")
-        labels = components(nodes, links)
+        again, labels = _linked(docs, classes, nodes, more, checked, width, num, den)
+        drop(again)
+    drop(shared, member, near, checked, opened, more)
     kind = ids.schema["doc_id"].dataType
     final = labels.select("h1", "h2", F.when(F.col("label") != -_NO_ID, F.col("label")).alias("linked_id"))
     out = ids.join(classes.select("h1", "h2", "label"), ["h1", "h2"], "left").join(final, ["h1", "h2"], "left")
