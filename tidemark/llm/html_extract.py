@@ -37,7 +37,7 @@ SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 NOT_ARTICLE = frozenset("head nav footer aside form script style noscript template iframe object button select textarea svg dialog title menu canvas audio video map datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 CLASSES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice alert popup modal overlay comment comments disqus reply replies share sharing social related recommended newsletter subscribe signup login widget pagination pager toolbar masthead".split()
+    "ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice alert popup modal overlay comment comments disqus reply replies share sharing social related recommended newsletter subscribe signup login widget pagination pager toolbar masthead".split()
 )
 
 
@@ -170,6 +170,11 @@ def main_subtree(tree: Tree) -> list[int]:
     candidates = [i for i in range(n) if not gone[i] and chars[i]]
     if not candidates:
         return []
+    # where the page marks its article, the subtree is looked for inside
+    marked = [False] * n
+    for i in range(1, n):
+        marked[i] = marked[tree.parent[i]] or tree.tag[i] in ("article", "main")
+    candidates = [i for i in candidates if marked[i]] or candidates
     best = max(candidates, key=lambda i: (sums[i], density[i] if not sums[i] else 0.0, -i))
     path, p = [best], tree.parent[best]
     while p >= 0:
@@ -177,7 +182,7 @@ def main_subtree(tree: Tree) -> list[int]:
         p = tree.parent[p]
     upto = path[: path.index(body) + 1] if body in path else path
     threshold = min(density[i] for i in upto)
-    around = [i for i in path if tree.tag[i] in ("article", "main")]
+    around = [i for i in path if tree.tag[i] == "article"] or [i for i in path if tree.tag[i] == "main"]
     if around:
         return [around[-1]]
     # subtrees beside the path that are as dense as its least dense node
