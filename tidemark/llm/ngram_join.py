@@ -5,7 +5,7 @@ symmetric difference has at most d = floor((|A| + |B|) * (1 - t) / (1 + t)) memb
 to one of 64 * (d + 1) bits and flips it, so that the Hamming distance of two sketches is at most their symmetric
 difference. Of its d + 1 blocks of 64 bits at least one is therefore equal in both (pigeonhole); more precisely, around
 the ring of blocks there is one that is equal while it and its successor together differ in one bit at most (cycle
-lemma). Blocks with under two bits set, which texts would share by chance, are joined with the successor's block and
+lemma). Blocks with under three bits set, which texts would share by chance, are joined with the successor's block and
 each of its one-bit deletions. Documents are dealt by (size band, block, content), never by pairs of documents.
 
 Stages, each of which is bounded in memory:
@@ -39,13 +39,14 @@ U = np.uint64
 _M1, _M2, _GOLD = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 _P = U(0xD6E8FEB86659FD93)
 #: A block with fewer bits than this is joined with its successor.
-SPARSE = 2
+SPARSE = 3
 #: Bits of the filter that keeps documents without candidates out of the verification; 8 MB at any input size.
 FILTER_BITS = 26
 BATCH_ROWS = 200_000
 #: A second, short sketch of each set, which rules most chance candidates out before any set is fetched.
 SKETCH_WORDS = 32
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+FOLDED = 4
 
 
 def times(k: int, factor: np.uint64) -> np.uint64:
@@ -387,15 +388,30 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
+def folded_sketches(classes: DataFrame) -> DataFrame:
+    """h1, n, f0 .. f3: the sketches folded to 256 bits, which are parity sketches too."""
+    fold = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in SKETCH[i::FOLDED]]).alias(f"f{i}") for i in range(FOLDED)]
+    return classes.select("h1", "n", *fold)
+
+
 def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) -> a, b, least (a lower bound of the Jaccard distance), candidate: sizes and Hamming distance allow a link."""
-    side = lambda name, p: classes.select(F.col("h1").alias(name), F.col("n").alias(p + "n"), *[F.col(c).alias(p + c) for c in SKETCH])
-    both = pairs.join(side("a", "x_"), "a").join(side("b", "y_"), "b")
-    bits = sum((F.bit_count(F.col("x_" + c).bitwiseXOR(F.col("y_" + c))) for c in SKETCH), F.lit(0))
-    total = F.col("x_n") + F.col("y_n")
-    sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
-    found = both.select("a", "b", bits.alias("bits"), total.alias("total"), sizes.alias("sizes"))
-    return found.select("a", "b", (2 * F.col("bits") / (F.col("total") + F.col("bits"))).alias("least"), (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
+    """(a, b) -> a, b, least (a lower bound of the Jaccard distance), candidate: sizes and Hamming distances allow a link.
+
+    The folded sketches rule most pairs out; only what they leave is looked up in the whole sketches.
+    """
+
+    def looked_up(pairs, table, words):
+        side = lambda name, p: table.select(F.col("h1").alias(name), F.col("n").alias(p + "n"), *[F.col(c).alias(p + c) for c in words])
+        both = pairs.join(side("a", "x_"), "a").join(side("b", "y_"), "b")
+        bits = sum((F.bit_count(F.col("x_" + c).bitwiseXOR(F.col("y_" + c))) for c in words), F.lit(0))
+        total = F.col("x_n") + F.col("y_n")
+        sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
+        found = both.select("a", "b", bits.alias("bits"), total.alias("total"), sizes.alias("sizes"))
+        return found.select("a", "b", (2 * F.col("bits") / (F.col("total") + F.col("bits"))).alias("least"), (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
+
+    first = cut(looked_up(pairs, folded_sketches(classes), [f"f{i}" for i in range(FOLDED)]), "folded", release=False)
+    second = looked_up(first.where("candidate").select("a", "b"), classes, SKETCH)
+    return first.where("not candidate").unionByName(second)
 
 
 def _linked(docs: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, before: DataFrame | None, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -424,26 +440,25 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     classes = cut(classes, "classes")
     shared = cut(shared_blocks(block_rows(docs, width, num, den)), "shared")
 
-    company = shared.groupBy("key").agg(F.count("*").alias("company"))
-    member = shared.join(company, "key")
-    weight = member.groupBy("h1").agg(F.sum("company").alias("weight"))
-    member = cut(shared.join(weight, "h1"), "weighted", release=False)
-    pivot = member.groupBy("key").agg(F.max(F.struct("weight", "h1")).alias("top")).select("key", F.col("top.h1").alias("b"))
-    pairs = member.join(pivot, "key").where("h1 <> b").select(F.col("h1").alias("a"), "b").distinct()
-    near = cut(by_sketch(pairs, classes, num, den), "near")
+    # the member that shares the most buckets is the pivot of its buckets: the original, where copies were edited
+    weight = shared.groupBy("h1").agg(F.count("*").alias("weight"))
+    member = cut(shared.join(weight, "h1"), "weighted")
+    drop(shared)
+    pivot = member.groupBy("key").agg(F.max(F.struct("weight", "h1")).alias("top"), F.count("*").alias("company")).select("key", F.col("top.h1").alias("pivot"), "company")
+    placed = cut(member.join(pivot, "key").where("h1 <> pivot").select("key", "h1", "pivot", "company"), "placed")
+    drop(member)
+    near = cut(by_sketch(placed.select(F.col("h1").alias("a"), F.col("pivot").alias("b")).distinct(), classes, num, den), "near")
     nodes = classes.select("h1", "h2", F.coalesce(F.col("label").cast("long"), F.lit(-_NO_ID)).alias("label"))
     checked, labels = _linked(docs, classes, nodes, near.where("candidate").select("a", "b"), None, width, num, den)
 
-    # what is left: pairs of a bucket that are in different components
-    at = shared.join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", F.coalesce("label", "own").alias("label"))
+    # what is left: pairs in buckets of three and more that are in different components and without their pivot
+    folded = [f"f{i}" for i in range(FOLDED)]
+    at = placed.where("company > 2").join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", "pivot", F.coalesce("label", "own").alias("label"))
     open_keys = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     exact = checked.groupBy("a", "b").agg(F.min("distance").alias("distance"))
     far = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("h1"), F.col("b").alias("pivot"), F.coalesce("distance", "least").alias("lo"), F.coalesce("distance", F.lit(1.0)).alias("hi"))
-    # the sketch folded to 256 bits is a parity sketch too
-    folded = [f"f{i}" for i in range(4)]
-    short = classes.select("h1", "n", *[reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in SKETCH[i::4]]).alias(f) for i, f in enumerate(folded)])
-    opened = at.join(open_keys, "key", "left_semi").join(pivot.withColumnRenamed("b", "pivot"), "key").where("h1 <> pivot").join(far, ["h1", "pivot"]).join(short, "h1").select("key", "h1", "label", "lo", "hi", "n", *folded)
-    opened = cut(opened, "open", release=False)
+    opened = at.join(open_keys, "key", "left_semi").join(far, ["h1", "pivot"]).join(folded_sketches(classes), "h1").select("key", "h1", "label", "lo", "hi", "n", *folded)
+    opened = cut(opened, "open")
     x, y = opened.alias("x"), opened.alias("y")
     reach = 1 - num / den + 1e-9
     bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in folded), F.lit(0))
@@ -455,7 +470,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     if not more.isEmpty():
         again, labels = _linked(docs, classes, nodes, more, checked, width, num, den)
         drop(again)
-    drop(shared, member, near, checked, opened, more)
+    drop(placed, near, checked, opened, more)
     kind = ids.schema["doc_id"].dataType
     final = labels.select("h1", "h2", F.when(F.col("label") != -_NO_ID, F.col("label")).alias("linked_id"))
     out = ids.join(classes.select("h1", "h2", "label"), ["h1", "h2"], "left").join(final, ["h1", "h2"], "left")
