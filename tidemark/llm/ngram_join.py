@@ -215,6 +215,16 @@ def _texts(batches: Iterator[pa.RecordBatch]):
         yield b, b.column(b.schema.get_field_index("text"))
 
 
+def _released(run):
+    """run, after which the worker gives unused memory back: it may go on to serve other stages."""
+
+    def whole(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def _set_id(members: np.ndarray) -> tuple[int, int]:
     x = xxhash.xxh3_128_digest(members.tobytes())
     return int.from_bytes(x[:8], "little", signed=True), int.from_bytes(x[8:], "little", signed=True)
@@ -235,7 +245,7 @@ def set_ids(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], ["doc_id", "text_hash", "n", "h1", "h2", *SKETCH])
 
     kinds = ", ".join(f"{c} long" for c in SKETCH)
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long, {kinds}")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_released(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long, {kinds}")
 
 
 def block_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -272,7 +282,7 @@ def block_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(run, "key long, h1 long")
+    return docs.mapInArrow(_released(run), "key long, h1 long")
 
 
 def shared_blocks(rows: DataFrame) -> DataFrame:
@@ -303,7 +313,7 @@ def shared_blocks(rows: DataFrame) -> DataFrame:
             if len(ok):
                 yield pa.RecordBatch.from_arrays([pa.array(ok), pa.array(ov)], ["key", "h1"])
 
-    return rows.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(run, "key long, h1 long")
+    return rows.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_released(run), "key long, h1 long")
 
 
 def _filter_words(spark, reps: DataFrame) -> np.ndarray:
@@ -339,7 +349,7 @@ def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: i
                 d, h1, h2, s = zip(*rows)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(s, pa.binary())], ["rep", "h1", "h2", "members"])
 
-    found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", slot).mapInArrow(run, "rep long, h1 long, h2 long, members binary")
+    found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", slot).mapInArrow(_released(run), "rep long, h1 long, h2 long, members binary")
     # a document id may be repeated: any one row of a class will do
     return found.join(reps, ["rep", "h1", "h2"], "left_semi").dropDuplicates(["rep", "h1", "h2"])
 
@@ -366,7 +376,7 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             i, u = np.array(inter, np.int64), np.array(union, np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(1 - i / np.maximum(u, 1)), pa.array(den * i >= num * u)], ["a", "a2", "b", "b2", "distance", "linked"])
 
-    return both.mapInArrow(run, "a long, a2 long, b long, b2 long, distance double, linked boolean")
+    return both.mapInArrow(_released(run), "a long, a2 long, b long, b2 long, distance double, linked boolean")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -467,8 +477,10 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & within)
     more = more.select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
     more = cut(by_sketch(more, classes, num, den).where("candidate").select("a", "b"), "more")
-    if not more.isEmpty():
-        again, labels = _linked(docs, classes, nodes, more, checked, width, num, den)
+    if not more.isEmpty():  # whole components move on from the labels that they have
+        known = labels.select("h1", "h2", F.col("label").alias("known"))
+        start = nodes.join(known, ["h1", "h2"], "left").select("h1", "h2", F.least("label", "known").alias("label"))
+        again, labels = _linked(docs, classes, start, more, checked, width, num, den)
         drop(again)
     drop(placed, near, checked, opened, more)
     kind = ids.schema["doc_id"].dataType
