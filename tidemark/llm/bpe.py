@@ -58,7 +58,7 @@ class Automaton:
             self.right[w] = [(t, min(end, time)) for t, end in self.right.get(v, [(v, never)])] + [(w, never)]
             self.left[w] = [(t, min(end, time)) for t, end in self.left.get(u, [(u, never)])] + [(w, never)]
         self.never, self.born = never, born
-        self.edges = Memo(self._follows, 2_000_000)
+        self.edges = Memo(self._follows, 150_000)
         # the tokens' trie: a node is its children by letter and the token that ends there
         root: list = [{}, None]
         self.trie: dict = root[0]
@@ -152,7 +152,6 @@ class Tokenizer:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.automaton = Automaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.lower = spec["normalizer"] is not None
-        self.in_words = self.lower
         pre = spec["pre_tokenizer"]
         own = pre["pretokenizers"][0]["pattern"]["Regex"] if pre["type"] == "Sequence" else BYTE_LEVEL
         self.split = _pattern(own)
@@ -162,13 +161,10 @@ class Tokenizer:
 
     def pieces(self, unit: str) -> list[str]:
         """The pre-split words of a unit (a run without inner white space, or of white space)."""
-        if self.lower:
-            if unit.isascii():
-                unit = unit.lower()
-            else:  # letters are lowered one by one, so a final sigma is like any other
-                unit = unicodedata.normalize("NFC", unit).replace("\u03a3", "\u03c3").lower()
         if unit.isalpha() or unit[0] == " " and unit[1:].isalpha():
             return [unit]
+        if unit[-1] in ".,;:!?" and (unit[:-1].isalpha() or unit[0] == " " and unit[1:-1].isalpha()):
+            return [unit[:-1], unit[-1]]
         return self.split.findall(unit)
 
     def word(self, piece: str) -> list[str]:
@@ -181,7 +177,13 @@ class Tokenizer:
         return [t for p in self.pieces(unit) for t in self.word(p)]
 
     def units(self, text: str) -> list[str]:
-        return (_CHUNK if self.in_words else _UNIT).findall(text)
+        """The units of an ordinary text, normalized. What is composed or lowered never reaches over white space, so a
+        text is normalized at once."""
+        if not self.lower:
+            return _UNIT.findall(text)
+        if not text.isascii():  # letters are lowered one by one, so a final sigma is like any other
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+        return _CHUNK.findall(text.lower())
 
     def parts(self, text: str) -> list[str]:
         """Ordinary texts at even places, special tokens at odd ones."""
@@ -239,7 +241,7 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, keep_ids: bool = True) ->
             return len(labels), " ".join([numbers[t] for t in labels]), " ".join(labels)
 
         # a unit is a word with its marks: units are met often, and the words inside new ones often are known
-        pieces = Memo(of_piece, 150_000)
+        pieces = Memo(of_piece, 100_000)
 
         def of_unit(unit):
             found = [pieces[p] for p in tok.pieces(unit)]
@@ -247,7 +249,7 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, keep_ids: bool = True) ->
                 return found[0]
             return sum([x[0] for x in found]), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
 
-        memo = Memo(of_unit, 100_000)
+        memo = Memo(of_unit, 80_000)
         for b in batches:
             n, ids, decoded = [], [], []
             for t in b.column(1):
