@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the least doc_id."""
-    return keep_one_of_each(docs)
+    """One document of each group of near copies (Jaccard similarity of 5-word shingles of 0.8 or more): the least doc_id's."""
+    return keep_one_of_each(docs, width=5, num=80, den=100)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,3 +49,19 @@ def test_stages_take_odd_rows(spark, k):
     if k < 4:
         assert out.columns == d.columns
     assert corpus_pipeline.STAGES[k][1](spark, d.limit(0), FOLDER).count() == 0
+
+
+def test_near_duplicates_are_five_words_and_four_fifths(spark):
+    """Two words changed apart from each other: 5-word shingles share (n - 14) / (n + 6), 4-word ones (n - 11) / (n + 5)."""
+
+    def pair(n, name):
+        a = [f"{name}{i}" for i in range(n)]
+        b = list(a)
+        b[n // 3] = b[2 * n // 3] = "changed" + name
+        return [" ".join(a), " ".join(b)]
+
+    texts = pair(94, "x") + pair(93, "y") + pair(120, "z")  # 0.8 (4 words: 0.838), 0.798, 0.841
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()) == [0, 2, 3, 4]
+    found = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id in (1, 255, 582, 875, 709, 944)")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, found, FOLDER).collect()) == [1, 582, 709]
