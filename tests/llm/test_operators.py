@@ -122,6 +122,39 @@ def test_one_of_each_stays(spark, odd):
     assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [1, 2, 3, 4, 6, 7, 8]
 
 
+def test_null_and_repeated_ids_do_not_join_components(spark):
+    def near(name, *changed):
+        w = [f"{name}{i}" for i in range(120)]
+        for i in changed:
+            w[i] = f"other{i}"
+        return " ".join(w)
+
+    # two components whose only link would be the label of null ids, and one of null ids alone
+    rows = [(None, near("a")), (3, near("a", 50)), (None, near("b")), (7, near("b", 60)), (None, near("c")), (None, near("c", 50)), (9, near("d")), (9, near("e")), (4, near("d", 40)), (5, near("e", 40))]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {r.text: r.component_id for r in ngram_join.ngram_jaccard_join(docs).join(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), "text_hash").select("text", "component_id").collect()}
+    assert [got[t] for _, t in rows] == [3, 3, 7, 7, None, None, 4, 5, 4, 5]
+    kept = sorted((str(r.doc_id), r.text[:1]) for r in ngram_join.keep_one_of_each(docs).collect())
+    assert kept == [("3", "a"), ("4", "d"), ("5", "e"), ("7", "b"), ("None", "c")]
+
+
+def test_classes_with_one_id_link_in_the_second_round(spark):
+    """Each text links with its neighbour only: links between members that are no pivot are needed, all under one id."""
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(8):
+        w = list(base)
+        for j in range(k):
+            w[20 * j + 10] = w[20 * j + 15] = f"v{j}"
+        texts.append(" ".join(w))
+    _, labels = jaccard_components(texts)
+    assert len(set(labels)) == 1
+    for ids in ([5] * 8, [None] * 8):
+        docs = spark.createDataFrame(list(zip(ids, texts)), DOCS)
+        assert ngram_join.ngram_jaccard_join(docs).select("component_hash").distinct().count() == 1
+        assert ngram_join.keep_one_of_each(docs).count() == 1
+
+
 # 2
 
 

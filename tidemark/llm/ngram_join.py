@@ -381,7 +381,8 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Least label of each node's component. nodes: h1, h2, label; edges: a, a2, b, b2. Labels travel along the links
-    and along the labels' own nodes until nothing changes; every round is written to the shared folder."""
+    and along the labels' own nodes until nothing changes; every round is written to the shared folder. Two nodes may
+    start with one label only if they are connected."""
     both = cut(edges.select("a", "a2", "b", "b2").union(edges.select("b", "b2", "a", "a2")).distinct(), "edges", release=False)
     labels = cut(nodes.join(both.select(F.col("a").alias("h1"), F.col("a2").alias("h2")).distinct(), ["h1", "h2"], "left_semi"), "labels", release=False)
     while True:
@@ -437,16 +438,17 @@ def _linked(docs: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFr
 
 
 def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, set_hash, text_hash.
+    """One row for each row of docs: doc_id, n_shingles, component_id, set_hash, component_hash, text_hash.
 
     Texts link when den * |intersection| >= num * |union| of their shingle sets; component_id is the smallest doc_id
     that links lead to, its own included. Null and wordless texts have the empty set and link with nothing; texts of
     fewer words than the width are one shingle; repeated rows each get a row; null ids sort last and stay null where a
-    component has no other; other columns are ignored; an empty table gives an empty result.
+    component has no other; other columns are ignored; an empty table gives an empty result. component_hash tells
+    components apart also where ids are null or repeated: it is the least set_hash of a component's sets.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     ids = cut(set_ids(docs, width), "set-ids")
-    classes = ids.where("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id").cast("long"), F.lit(_NO_ID)).alias("rep"), F.min("doc_id").alias("label"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in SKETCH])
+    classes = ids.where("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id").cast("long"), F.lit(_NO_ID)).alias("rep"), F.min("doc_id").alias("least_id"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in SKETCH])
     classes = cut(classes, "classes")
     shared = cut(shared_blocks(block_rows(docs, width, num, den)), "shared")
 
@@ -458,13 +460,14 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     placed = cut(member.join(pivot, "key").where("h1 <> pivot").select("key", "h1", "pivot", "company"), "placed")
     drop(member)
     near = cut(by_sketch(placed.select(F.col("h1").alias("a"), F.col("pivot").alias("b")).distinct(), classes, num, den), "near")
-    nodes = classes.select("h1", "h2", F.coalesce(F.col("label").cast("long"), F.lit(-_NO_ID)).alias("label"))
+    # document ids may be null or repeated, so a class is labelled by its own set id
+    nodes = classes.select("h1", "h2", F.struct("h1", "h2").alias("label"))
     checked, labels = _linked(docs, classes, nodes, near.where("candidate").select("a", "b"), None, width, num, den)
 
     # what is left: pairs in buckets of three and more that are in different components and without their pivot
     folded = [f"f{i}" for i in range(FOLDED)]
     at = placed.where("company > 2").join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", "pivot", F.coalesce("label", "own").alias("label"))
-    open_keys = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    open_keys = at.groupBy("key").agg(*[f(f"label.{c}").alias(f"{k}{c}") for c in ("h1", "h2") for f, k in ((F.min, "lo"), (F.max, "hi"))]).where("loh1 <> hih1 or loh2 <> hih2").select("key")
     exact = checked.groupBy("a", "b").agg(F.min("distance").alias("distance"))
     far = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("h1"), F.col("b").alias("pivot"), F.coalesce("distance", "least").alias("lo"), F.coalesce("distance", F.lit(1.0)).alias("hi"))
     opened = at.join(open_keys, "key", "left_semi").join(far, ["h1", "pivot"]).join(folded_sketches(classes), "h1").select("key", "h1", "label", "lo", "hi", "n", *folded)
@@ -483,26 +486,28 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
         again, labels = _linked(docs, classes, start, more, checked, width, num, den)
         drop(again)
     drop(placed, near, checked, opened, more)
-    kind = ids.schema["doc_id"].dataType
-    final = labels.select("h1", "h2", F.when(F.col("label") != -_NO_ID, F.col("label")).alias("linked_id"))
-    out = ids.join(classes.select("h1", "h2", "label"), ["h1", "h2"], "left").join(final, ["h1", "h2"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("linked_id", "label")).cast(kind).alias("component_id"), F.concat_ws("", F.lpad(F.hex("h1"), 16, "0"), F.lpad(F.hex("h2"), 16, "0")).alias("set_hash"), "text_hash")
+    least = labels.join(classes.select("h1", "h2", "least_id"), ["h1", "h2"]).groupBy("label").agg(F.min("least_id").alias("linked_id"))
+    final = labels.join(least, "label").select("h1", "h2", "label", "linked_id")
+    out = ids.join(classes.select("h1", "h2", "least_id"), ["h1", "h2"], "left").join(final, ["h1", "h2"], "left")
+    written = lambda a, b: F.concat_ws("", F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0"))
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.when(F.col("label").isNull(), F.col("least_id")).otherwise(F.col("linked_id")))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), written("h1", "h2").alias("set_hash"), written(F.coalesce("label.h1", "h1"), F.coalesce("label.h2", "h2")).alias("component_hash"), "text_hash")
 
 
 def keep_one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
     """docs with one row of each component: the one whose doc_id is the least. Rows without words all stay.
 
     Only what goes is joined with the documents, by id and a hash of the text, so that a repeated id takes nothing else
-    with it. Of repeated rows (same id, same set) one stays.
+    with it. Of rows of one component that share the least id (or have none) one stays.
     """
     found = cut(ngram_jaccard_join(docs, width, num, den), "components")
     gone = found.where("n_shingles > 0 and not doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     kept = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__hash")), "left_anti")
     stay = found.where("n_shingles > 0 and doc_id <=> component_id")
-    if stay.groupBy("doc_id", "set_hash").count().where("count > 1").isEmpty():
+    if stay.groupBy("component_hash").count().where("count > 1").isEmpty():
         return kept
-    first = stay.groupBy("doc_id", "set_hash").agg(F.min("text_hash").alias("first"))
-    later = stay.join(first, ["doc_id", "set_hash"]).where("text_hash <> first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    first = stay.groupBy("component_hash").agg(F.min(F.struct("set_hash", "text_hash")).alias("first"))
+    later = stay.join(first, "component_hash").where("struct(set_hash, text_hash) <> first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     wordless = found.where("n_shingles = 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     kept = kept.join(later, kept["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(kept["text"].cast("string")) == F.col("__hash")), "left_anti")
     same = lambda d: d["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(d["text"].cast("string")) == F.col("__hash"))
