@@ -203,6 +203,25 @@ def test_proximity_and_edges(spark, odd):
     assert kept.columns == odd.columns and kept.count() == odd.count() - 2
 
 
+def test_altered_passages_are_near_and_leave_the_pipeline(spark):
+    """A word put in, left out or swapped in every run of ten words."""
+    passage = [f"w{i}" for i in range(40)]
+    put_in = [x for i, w in enumerate(passage) for x in ([w, "x"] if i % 9 == 4 else [w])]
+    left_out = [w for i, w in enumerate(passage) if i % 9 != 4]
+    swapped = list(passage)
+    for i in range(4, 39, 6):
+        swapped[i], swapped[i + 1] = swapped[i + 1], swapped[i]
+    apart = [x for w in passage for x in (w, "x", "y")]
+    other = [f"v{i}" if i % 4 == 0 else w for i, w in enumerate(passage)]
+    docs = spark.createDataFrame(list(enumerate(" ".join(w) for w in (passage, put_in, left_out, swapped, apart, other))), DOCS)
+    bench = spark.createDataFrame([("q", " ".join(passage)), ("r", "w3 w3 w3 w3 w3 w3 w3 w3 w3 w3")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit > 0, list(r.near)) for r in decontaminate.find_contamination(docs, bench, slack=decontaminate.NEAR_SLACK).collect()}
+    assert got == {0: (True, ["q"]), 1: (False, ["q"]), 2: (False, ["q"]), 3: (False, ["q"]), 4: (False, []), 5: (False, [])}
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()) == [4, 5]
+    wide = decontaminate.find_contamination(docs, bench, slack=80).collect()
+    assert {r.doc_id: list(r.near) for r in wide}[4] == ["q"]
+
+
 # 3
 
 

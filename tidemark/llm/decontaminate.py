@@ -3,14 +3,16 @@
 The index is partitioned by document. A row is a shard of whole documents: their lengths, and for every term the sorted
 list of its positions in the shard's token stream. Two documents of a shard are a gap apart, so that no phrase spans
 both. A phrase is found by intersecting its terms' lists, each shifted back by the term's offset in the phrase, from the
-rarest list on; a phrase whose rarest term is not in the shard costs one comparison. Proximity matches take the lists of
-the phrase's rarest terms and look for a span that holds them all.
+rarest list on; a phrase whose rarest term is not in the shard costs one comparison. Proximity matches start from the
+lists of the phrase's rarest terms and look for a span, the phrase's length and some slack, that holds its words in any
+order; of every SPARE words of the phrase one may be missing.
 
 The test set is read in blocks of bounded size; every block is searched in all shards.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,12 @@ from tidemark.llm.common import cut
 #: Bytes of text in a shard (a longer document is a shard of its own), and of test items in a block.
 SHARD_BYTES = 2_000_000
 BLOCK_BYTES = 4_000_000
+#: Words between two documents of a shard; more where a phrase and its slack are longer.
 GAP = 64
+#: Words that a proximity match of a whole window may have between its own (in proportion for shorter items), and one in
+#: so many of its words that it may lack.
+NEAR_SLACK = 3
+SPARE = 8
 
 #: Words are runs of anything but ASCII signs and controls; A-Z count as a-z.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -36,7 +43,11 @@ def words_of(text: str | None) -> list[bytes]:
 INDEX_SCHEMA = "shard string, doc_ids array<{id}>, lengths array<int>, terms array<binary>, ends array<int>, positions binary"
 
 
-def build_index(docs: DataFrame, terms: frozenset[bytes] | None = None) -> DataFrame:
+def gap_of(width: int, slack: int) -> int:
+    return max(GAP, width + max(slack, 0))
+
+
+def build_index(docs: DataFrame, terms: frozenset[bytes] | None = None, gap: int = GAP) -> DataFrame:
     """Shards of postings for docs(doc_id, text). With terms, only those terms' postings are stored (lengths count all words)."""
     kind = docs.schema["doc_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -53,7 +64,7 @@ def build_index(docs: DataFrame, terms: frozenset[bytes] | None = None) -> DataF
         task = TaskContext.get().partitionId()
 
         def shard():
-            starts = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + GAP)])
+            starts = np.concatenate([[0], np.cumsum(np.array(lengths, np.int64) + gap)])
             code = np.concatenate(codes) if codes else np.empty(0, np.int64)
             where = np.concatenate([np.arange(n) + s for n, s in zip(lengths, starts)]) if lengths else np.empty(0, np.int64)
             have = code >= 0
@@ -104,6 +115,9 @@ class Windows:
         longest = max(map(len, self.phrases), default=1)
         # shorter phrases are padded with their own first term, which changes no minimum
         self.padded = np.array([p + (p[0],) * (longest - len(p)) for p in self.phrases], np.int64).reshape(len(self.phrases), longest)
+        # where each of a phrase's terms stands first, and how many of its words a proximity match may lack
+        self.leading = np.array([[t not in p[:k] for k, t in enumerate(p)] + [False] * (longest - len(p)) for p in self.phrases], bool).reshape(self.padded.shape)
+        self.spare = np.array([len(p) // SPARE for p in self.phrases], np.int64)
 
 
 def _lists(row: dict, terms: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,24 +148,54 @@ def phrase_starts(phrase: tuple[int, ...], first, last, positions) -> np.ndarray
     return found
 
 
-def near_starts(phrase: tuple[int, ...], first, last, positions, slack: int) -> np.ndarray:
-    """Where all distinct terms of the phrase stand within its length plus slack words, counted from the rarest one."""
-    order = sorted(set(phrase), key=lambda t: last[t] - first[t])
-    found = positions[first[order[0]] : last[order[0]]]
-    for t in order[1:]:
+def near_starts(phrase: tuple[int, ...], first, last, positions, span: int) -> np.ndarray:
+    """Occurrences of one of the phrase's rarest terms that may be in a proximity match: all but the spare terms stand
+    less than span words away. A match has at least one of the spare + 1 rarest terms."""
+    terms, spare, out = sorted(set(phrase), key=lambda t: last[t] - first[t]), len(phrase) // SPARE, []
+    for rare in terms[: spare + 1]:
+        found = positions[first[rare] : last[rare]]
+        missed = np.zeros(len(found), np.int64)
+        for t in terms:
+            if not len(found):
+                break
+            own = positions[first[t] : last[t]]
+            if t != rare and len(own):
+                lo = np.searchsorted(own, found - (span - 1))
+                missed = missed + ((lo == len(own)) | (own[np.minimum(lo, len(own) - 1)] > found + (span - 1)))
+            elif t != rare:
+                missed = missed + 1
+            found, missed = found[missed <= spare], missed[missed <= spare]
+        out.append(found)
+    return np.concatenate(out)
+
+
+def is_near(phrase: tuple[int, ...], first, last, positions, span: int, at: int) -> bool:
+    """Whether some span around a place holds the phrase's words, each as often as the phrase, but for the spare ones."""
+    need = Counter(phrase)
+    around = []
+    for t in need:
         own = positions[first[t] : last[t]]
-        if not len(own) or not len(found):
-            return found[:0]
-        reach = len(phrase) + slack - 1
-        lo = np.searchsorted(own, found - reach)
-        found = found[(lo < len(own)) & (own[np.minimum(lo, len(own) - 1)] <= found + reach)]
-    return found
-
-
-def search(index: DataFrame, items: list[tuple[object, str | None]], width: int, slack: int = -1) -> DataFrame:
+        around += [(int(x), t) for x in own[np.searchsorted(own, at - span + 1) : np.searchsorted(own, at + span)]]
+    around.sort()
+    have, lo, held = Counter(), 0, 0
+    for x, t in around:
+        have[t] += 1
+        held += have[t] <= need[t]
+        while around[lo][0] <= x - span:
+            t = around[lo][1]
+            held -= have[t] <= need[t]
+            have[t] -= 1
+            lo += 1
+        if held >= len(phrase) - len(phrase) // SPARE:
+            return True
+    return False
+
+
+def search(index: DataFrame, items: list[tuple[object, str | None]], width: int, slack: int = -1, gap: int = GAP) -> DataFrame:
     """For every indexed document: shard, ordinal, doc_id, n_words, spans (start, end of hit words), items.
 
-    slack < 0: exact phrases only; else near holds the items with a proximity match.
+    slack < 0: exact phrases only; else near holds the items with a proximity match, exact ones among them. gap is the
+    index's and at least gap_of(width, slack).
     """
     windows = index.sparkSession.sparkContext.broadcast(Windows(items, width))
     id_type = index.schema["doc_ids"].dataType.elementType.simpleString()
@@ -162,7 +206,7 @@ def search(index: DataFrame, items: list[tuple[object, str | None]], width: int,
             for row in b.to_pylist():
                 first, last, positions = _lists(row, w.terms)
                 lengths = np.array(row["lengths"], np.int64)
-                starts = np.concatenate([[0], np.cumsum(lengths + GAP)])[: len(lengths)]
+                starts = np.concatenate([[0], np.cumsum(lengths + gap)])[: len(lengths)]
                 hits: list[list] = [[] for _ in row["doc_ids"]]
                 items_hit: list[set] = [set() for _ in row["doc_ids"]]
                 near_hit: list[set] = [set() for _ in row["doc_ids"]]
@@ -173,9 +217,16 @@ def search(index: DataFrame, items: list[tuple[object, str | None]], width: int,
                         d = int(np.searchsorted(starts, s, "right")) - 1
                         hits[d].append((int(s - starts[d]), int(s - starts[d]) + len(phrase)))
                         items_hit[d].update(w.items[p])
-                    if slack >= 0:
-                        for s in near_starts(phrase, first, last, positions, min(slack, GAP - len(phrase))):
-                            near_hit[int(np.searchsorted(starts, s, "right")) - 1].update(w.items[p])
+                        if slack >= 0:
+                            near_hit[d].update(w.items[p])
+                absent = ((counts[w.padded] == 0) & w.leading).sum(axis=1) if slack >= 0 and len(w.phrases) else None
+                for p in np.flatnonzero(absent <= w.spare) if absent is not None else ():
+                    phrase = w.phrases[p]
+                    span = len(phrase) + slack * len(phrase) // width
+                    for s in near_starts(phrase, first, last, positions, span):
+                        d = int(np.searchsorted(starts, s, "right")) - 1
+                        if not near_hit[d].issuperset(w.items[p]) and is_near(phrase, first, last, positions, span, int(s)):
+                            near_hit[d].update(w.items[p])
                 spans = [_merge(h) for h in hits]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["shard"]] * len(lengths)), pa.array(range(len(lengths)), pa.int32()), pa.array(row["doc_ids"], b.column(1).type.value_type), pa.array(lengths),
@@ -216,19 +267,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, s
 
     A document word inside an occurrence of a test window is hit. Null and wordless texts have no words and no hits;
     repeated items and documents count each for themselves; an empty test set leaves all clean; extra columns are ignored.
+    near has the items with a proximity match (see search), exact ones among them; with slack < 0 it is empty.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    blocks = _blocks(benchmark)
+    blocks, gap = _blocks(benchmark), gap_of(width, slack)
     block = next(blocks, [])
     following = next(blocks, None)
     if following is None:  # one block: only postings that some test term reads are stored
-        index = cut(build_index(docs, frozenset(t for _, x in block for t in words_of(x))), "index")
-        found = search(index, block, width, slack)
+        index = cut(build_index(docs, frozenset(t for _, x in block for t in words_of(x)), gap), "index")
+        found = search(index, block, width, slack, gap)
     else:
-        index = cut(build_index(docs), "index")
-        parts = search(index, block, width, slack)
+        index = cut(build_index(docs, gap=gap), "index")
+        parts = search(index, block, width, slack, gap)
         while following is not None:
-            parts, following = parts.union(search(index, following, width, slack)), next(blocks, None)
+            parts, following = parts.union(search(index, following, width, slack, gap)), next(blocks, None)
         merged = parts.groupBy("shard", "ordinal").agg(
             F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"),
@@ -239,12 +291,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, s
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", "spans", "near")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """The rows of docs without a hit word, with all their columns.
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack: int = NEAR_SLACK) -> DataFrame:
+    """The rows of docs without a hit word and without a proximity match (slack < 0: without a hit word), all columns.
 
     Rows are told apart by id and a hash of the text: a repeated id takes nothing else with it.
     """
     key = F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64(F.col("text").cast("string"))))
-    found = find_contamination(docs.select(key.alias("doc_id"), "text"), benchmark, width)
-    dirty = cut(found.where("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct(), "dirty")
+    found = find_contamination(docs.select(key.alias("doc_id"), "text"), benchmark, width, slack)
+    dirty = cut(found.where("n_hit > 0 or size(near) > 0").select(F.col("doc_id").alias("__key")).distinct(), "dirty")
     return docs.join(dirty.hint("shuffle_hash"), key == F.col("__key"), "left_anti")

@@ -9,7 +9,7 @@ from tidemark.llm import sql
 from tidemark.llm.bpe import encode_texts
 from tidemark.llm.chat_format import format_conversations, read_losses, read_turns
 from tidemark.llm.common import load
-from tidemark.llm.decontaminate import find_contamination
+from tidemark.llm.decontaminate import NEAR_SLACK, find_contamination
 from tidemark.llm.html_extract import extract_pages
 from tidemark.llm.lm_score import score_texts
 from tidemark.llm.ngram_join import ngram_jaccard_join
@@ -34,6 +34,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_proximity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact query's columns are those of its SQL; this one has the proximity matches beside them."""
+    found = find_contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), slack=NEAR_SLACK)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.size("near").cast("long").alias("n_near"), F.sha2(F.array_join("near", ","), 256).alias("near_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(load(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
@@ -90,7 +96,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_benchmark_decontamination, op3_secret_scans, op4_url_filters, op5_chat_formatting, op6_bpe_encoding,
+    op1_ngram_jaccard_join, op2_benchmark_decontamination, op2_proximity_matches, op3_secret_scans, op4_url_filters, op5_chat_formatting, op6_bpe_encoding,
     op7_token_counts, op8_quality_rules, op9_lm_scoring, op10_html_extraction, pipeline,
 )}
 ORACLE_SQL = sql.ORACLE_SQL
