@@ -261,6 +261,23 @@ def test_lexing_and_constants():
     assert secret_scan.name_score("dbPassword") == 1.0 and secret_scan.name_score("monkey") == 0
 
 
+def test_lexing_of_configuration_types_and_subscripts():
+    def found(text):
+        return {text[s:e] for s, e, _ in secret_scan.literal_spans(text)}
+
+    key = "Xk29fj3kdQ81"
+    for text in (
+        f"DB_PWD={key}\n", f"export DB_PWD={key} # main\r\n", f"credentials: {key}\n", f"  - credentials: {key}", f"passphrase={key}", f"[db]\npwd = {key}\n", f"A={key}\nDB_PWD=${{A}}\n",
+        f'password: str = "{key}"', f'let apiKey: &str = "{key}";', f'const apiKey: Map<string, string[]> = "{key}"', f"private static x(passphrase: string = '{key}')", f'var pwd string = "{key}"', f'char passphrase[32] = "{key}";',
+        f'cfg["auth_token"] = "{key}"', f"$cfg['db']['pwd'] = '{key}';", f'{{"credentials":\n\n    "{key}"}}', f'passphrase = (\n    "{key}"\n)', f'passphrase =\\\n    "{key}"',
+    ):
+        assert found(text) == {key}, text
+        assert key not in secret_scan.redact_text(text)
+    assert found("[db]\npwd = swordfish\n") == found("pwd: swordfish\n") == found("DB_PWD=swordfish") == {"swordfish"}
+    for text in ("pwd = swordfish\n", "  pwd=swordfish,\n", "pwd=getpass.getpass()\n", "DB_PWD=$PWD\n", "Some text on keys: it goes on\n", "pwd: &anchor\n", "token_count: 1000000\n", f"title: {key}\n", f'title: str = "{key}"', f'cfg["title"] = "{key}"'):
+        assert found(text) == set(), text
+
+
 def test_secret_edges(spark, odd):
     assert secret_scan.find_secrets(odd).where("size(spans) = 0").count() == odd.count()
     d = spark.createDataFrame([(1, "é token = 'abcdef0123456789abcdef0123' end", 5)], DOCS + ", n int")

@@ -1,8 +1,9 @@
 """Secret scans by assignment-aware lexing.
 
-Source code and configuration are lexed into names, literals and operators. A name followed by "=", ":" or "=>" and an
-expression of literals and names joined by "+" is an assignment; names that were given a literal before are replaced by
-it (constant propagation), in order, within a text. A literal is a secret where the name it reaches is sensitive and the
+Source code and configuration are lexed into names, literals and operators, across lines. A name followed by "=", ":" or
+"=>" and an expression of literals and names joined by "+" is an assignment, also with a type or subscripts between; names
+that were given a literal before are replaced by it (constant propagation), in order, within a text. A line of
+configuration that is a name, "=" or ":" and one word gives that word without quotes as a literal. A literal is a secret where the name it reaches is sensitive and the
 literal looks like a credential: the sensitivity of the target's words times the literal's own weight passes a
 threshold. Three base patterns are searched beside it in every whole text.
 """
@@ -79,47 +80,133 @@ def _tokens(line_text: str, base: int) -> Iterator[tuple[str, str, int, int]]:
         at = m.end()
 
 
-#: A line is lexed where it could hold an assignment or a use of one.
-_SYNTAX = re.compile(r"[^\n]*[\"'][^\n]*|[^\n]*[=][^\n]*")
+_ASSIGNS = ("=", ":", ":=", "=>")
+#: Tokens between a name and the "=" behind its type.
+TYPE_TOKENS = 16
+
+
+def _regions(text: str) -> Iterator[tuple[str, int]]:
+    """Runs of lines that could hold an assignment or a part of one, blank lines within them too, and their places."""
+    at, begin, upto = 0, None, 0
+    for line in text.split("\n"):
+        if '"' in line or "'" in line or "=" in line or ":" in line:
+            begin, upto = (at if begin is None else begin), at + len(line)
+        elif begin is not None and line.strip(" \t\r()\\"):
+            yield text[begin:upto], begin
+            begin = None
+        at += len(line) + 1
+    if begin is not None:
+        yield text[begin:upto], begin
+
+
+def _expression(tokens: list, j: int, known: dict) -> tuple[list[tuple[str, int, int]], int]:
+    """The literals of an expression that starts at token j, and the token after it. Lines may end after operators."""
+    found: list[tuple[str, int, int]] = []
+    while True:
+        while j < len(tokens) and tokens[j][0] == "end" and tokens[j][1] in "\n(":
+            j += 1
+        if j == len(tokens):
+            return found, j
+        k, v, s, e = tokens[j]
+        if k == "literal":
+            found.append((v, s, e))
+        elif k == "name" and v in known:
+            found.extend(known[v])
+        else:
+            return found, j
+        j += 1
+        if j == len(tokens) or tokens[j][:2] != ("op", "+"):
+            return found, j
+        j += 1
+
+
+def _target(tokens: list, i: int) -> tuple[str, int] | None:
+    """The name that token i starts, with its subscripts, and the place of the operator behind it."""
+    name, j = tokens[i][1], i + 1
+    if tokens[i][0] == "name" and name in ("var", "const") and j + 2 < len(tokens) and tokens[j][0] == tokens[j + 1][0] == "name" and tokens[j + 2][:2] == ("op", "="):
+        return tokens[j][1], j + 2
+    while tokens[i][0] == "name" and j + 1 < len(tokens) and tokens[j][1] == "[" and tokens[j][0] == "end":
+        if tokens[j + 1][:2] == ("end", "]"):
+            j += 2
+        elif j + 2 < len(tokens) and tokens[j + 2][:2] == ("end", "]"):
+            name, j = (f"{name}.{tokens[j + 1][1]}" if tokens[j + 1][0] in ("literal", "name") else name), j + 3
+        else:
+            return None
+    return (name, j) if j < len(tokens) and tokens[j][0] == "op" and tokens[j][1] in _ASSIGNS else None
+
+
+def _behind_type(tokens: list, j: int) -> int | None:
+    """The "=" behind a type that starts at token j, on the same line."""
+    for k in range(j, min(j + TYPE_TOKENS, len(tokens))):
+        kind, value = tokens[k][:2]
+        if kind == "op":
+            return k if value == "=" and k > j else None
+        if kind == "literal" or kind == "end" and value not in "[],()":
+            return None
+    return None
 
 
 def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """(name, literals with their places) in order; literals that a name stood for come with their first place."""
     known: dict[str, list[tuple[str, int, int]]] = {}
     out = []
-    for line in _SYNTAX.finditer(text):
-        tokens = list(_tokens(line[0], line.start()))
+    for region, base in _regions(text):
+        tokens = list(_tokens(region, base))
         i = 0
         while i < len(tokens):
-            kind, value, _, _ = tokens[i]
-            if kind in ("name", "literal") and i + 1 < len(tokens) and tokens[i + 1][0] == "op" and tokens[i + 1][1] in ("=", ":", ":=", "=>"):
-                j, found = i + 2, []
-                while j < len(tokens):
-                    k, v, s, e = tokens[j]
-                    if k == "literal":
-                        found.append((v, s, e))
-                    elif k == "name" and v in known:
-                        found.extend(known[v])
-                    else:
-                        break
-                    j += 1
-                    if j < len(tokens) and tokens[j][:2] == ("op", "+"):
-                        j += 1
-                    else:
-                        break
+            target = _target(tokens, i) if tokens[i][0] in ("name", "literal") else None
+            if target:
+                name, at = target
+                found, j = _expression(tokens, at + 1, known)
+                if not found and tokens[at][1] == ":" and (behind := _behind_type(tokens, at + 1)) is not None:
+                    found, j = _expression(tokens, behind + 1, known)
                 if found:
-                    known[value] = found
-                    out.append((value, found))
+                    known[name] = found
+                    out.append((name, found))
                     i = j
                     continue
             i += 1
     return out
 
 
+_CONFIG = re.compile(r"^[ \t]*(?:(?:export|set|env)[ \t]+|-[ \t]+)?([A-Za-z_][A-Za-z0-9_.-]*)([ \t]*)([=:])[ \t]*([^\s\"'`=>|&*][^\s\"'`]*)[ \t\r]*(?:[ \t][#;][^\n]*)?$", re.MULTILINE | re.IGNORECASE | re.ASCII)
+_SECTION = re.compile(r"^[ \t]*\[[^\]\n\"']+\][ \t\r]*$", re.MULTILINE)
+_REFERENCE = re.compile(r"\$\{?([A-Za-z_][A-Za-z0-9_]*)\}?")
+_PATH = re.compile(r"[A-Za-z_$][A-Za-z_$]*(?:\.[A-Za-z_$]+)*")
+
+
+def unquoted(text: str) -> Iterator[tuple[str, tuple[str, int, int]]]:
+    """(name, literal with its place) of configuration lines without quotes: .env and shell, INI and properties, YAML.
+
+    Calls are no literals. Nor are bare names where the line could as well be source code: with blanks around "=" outside
+    of a file with sections, or with a comma or semicolon behind.
+    """
+    known: dict[str, tuple[str, int, int]] = {}
+    ini = None
+    for m in _CONFIG.finditer(text):
+        name, value, at = m[1], m[4], m.start(4)
+        if (r := _REFERENCE.fullmatch(value)) is not None:
+            if r[1] in known:
+                yield name, known[r[1]]
+            continue
+        whole = value.rstrip(",;")
+        if not whole or re.match(r"[A-Za-z_$][\w.$:]*\(", whole) or "{{" in whole:
+            continue
+        if _PATH.fullmatch(whole) and (whole != value or m[3] == "=" and m[2]):
+            if ini is None:
+                ini = _SECTION.search(text) is not None
+            if whole != value or not ini:
+                continue
+        if re.fullmatch(r"[0-9.]+", whole) and NAME_WEIGHTS.get(_WORD.findall(name)[-1].lower() if _WORD.findall(name) else "", 0.0) == 0.0:
+            continue
+        known[name] = (whole, at, at + len(whole))
+        yield name, known[name]
+
+
 def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """Places and scores of the literals that reach a sensitive name."""
     best: dict[tuple[int, int], float] = {}
-    for name, found in assignments(text):
+    for name, found in [*assignments(text), *((name, [x]) for name, x in unquoted(text))]:
         weight = name_score(name)
         if weight < NAME_LEAST:
             continue
@@ -148,7 +235,7 @@ def scan(text: str | None) -> list[tuple[int, str, int]]:
     if b"akia" in low:
         out += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if (b"=" in low or b'"' in low or b"'" in low) and (hinted or any(h in low for h in _NAMES)):
+    if (b"=" in low or b":" in low or b'"' in low or b"'" in low) and (hinted or any(h in low for h in _NAMES)):
         out += [(s, 3, e) for s, e, _ in literal_spans(text)]
     return [(s, KINDS[k], e) for s, k, e in sorted(out)]
 
