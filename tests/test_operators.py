@@ -89,3 +89,26 @@ def test_contracts_and_graph(spark):
     nodes = spark.range(10).select("id")
     edges = spark.createDataFrame([(5, 4), (4, 3), (8, 9), (7, 7)], "a long, b long")
     assert {r.id: r.component for r in graph.connected_components(nodes, edges).collect()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7, 8: 8, 9: 8}
+
+
+def test_whole_graph_and_conflicting_components(spark):
+    edges = spark.createDataFrame([(1, 11), (11, 21), (2, 12), (2, 13), (4, 5)], "a long, b long")
+    members = spark.createDataFrame([(i, i // 10) for i in (1, 11, 21, 2, 12, 13, 4, 5, 9)], "id long, camera long")
+    got = {r.component: (r.members, r.cameras, r.status) for r in graph.accepted_components(graph.connected_components(members, edges), members).collect()}
+    assert got == {1: (3, 3, "ACCEPTED"), 2: (3, 2, "CONFLICT"), 4: (2, 1, "SINGLE"), 9: (1, 1, "SINGLE")}
+
+    from tidemark.plans import QUERIES
+
+    folder, parent = "/root/testdata/sf0.001", {}
+
+    def find(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    parts = {r.p_partkey for r in spark.read.parquet(f"{folder}/part.parquet").select("p_partkey").collect()}
+    for r in spark.read.parquet(f"{folder}/lineitem.parquet").select("l_partkey", "l_suppkey").distinct().collect():
+        if r.l_partkey in parts:
+            a, b = find(r.l_partkey), find(r.l_suppkey + 1_000_000_000)
+            parent[max(a, b)] = min(a, b)
+    assert {r.id: r.component for r in QUERIES["components_whole"](spark, folder).collect()} == {i: find(i) for i in list(parent)}

@@ -38,3 +38,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = new.select("id", "component")
         if new.where("component <> was").isEmpty():
             return labels
+
+
+def accepted_components(labels: DataFrame, members: DataFrame) -> DataFrame:
+    """(component, members, cameras, status) of each component. labels: id, component; members: id, camera, a row for each
+    id. SINGLE: of one camera only; CONFLICT: with two members of one camera; else ACCEPTED."""
+    by_camera = labels.join(members, "id").groupBy("component", "camera").agg(F.count("*").alias("n"))
+    c = by_camera.groupBy("component").agg(F.sum("n").alias("members"), F.count("*").alias("cameras"))
+    status = F.when(F.col("cameras") < 2, "SINGLE").when(F.col("cameras") < F.col("members"), "CONFLICT").otherwise("ACCEPTED")
+    return c.select("component", "members", "cameras", status.alias("status"))

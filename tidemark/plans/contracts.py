@@ -187,6 +187,18 @@ def components(spark: SparkSession, d: str) -> DataFrame:
     return graph.connected_components(e.select(F.explode(F.array("a", "b")).alias("id")), e)
 
 
+@query("GR-01")
+def components_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Components of the graph of all parts and suppliers with a line, and which of them one part and one supplier make.
+
+    There is no SQL: a recursive one holds every pair of connected nodes.
+    """
+    e = load(spark, d, "lineitem").join(load(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("p_partkey").alias("a"), (F.col("l_suppkey") + 1_000_000_000).alias("b")).distinct()
+    members = e.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("camera", F.when(F.col("id") < 1_000_000_000, "part").otherwise("supplier"))
+    labels = graph.connected_components(members, e)
+    return labels.join(graph.accepted_components(labels, members), "component").select("id", "component", "members", "status")
+
+
 @query("GR-03", sql="""
 WITH t AS (SELECT l_suppkey AS track, count(*) AS views, min(l_tax) AS depth, stddev_pop(l_discount) AS parallax, median(l_quantity) AS med, CAST(floor(avg(l_extendedprice) / 100) AS BIGINT) AS cell, max(l_extendedprice) AS q FROM lineitem GROUP BY 1),
 lim AS (SELECT m + 3 * 1.4826 * greatest((SELECT median(abs(t.med - x.m)) FROM t, (SELECT median(med) AS m FROM t) x), 1e-9) AS v FROM (SELECT median(med) AS m FROM t)),
