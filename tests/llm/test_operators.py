@@ -566,3 +566,14 @@ def test_extraction_edges(spark):
     got = html_extract.extract_pages(pages)
     assert sorted((r.page_id, r.n_chars) for r in got.collect()) == [(1, 0), (1, 0), (2, len(html_extract.extract(PAGE)))]
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_density_chooses_beside_articles_of_others():
+    text = "<div id=story><h1>Head</h1><p>" + "Long text here, and more of it. " * 9 + "</p><p>" + "Other text there, even more of it. " * 9 + "</p></div>"
+    want = "Head\n" + ("Long text here, and more of it. " * 9).strip() + "\n" + ("Other text there, even more of it. " * 9).strip()
+    comments = "<article class='comment-body'><p>" + "I read this with delight. " * 8 + "</p></article>"
+    teasers = "<article><h3><a href=x>Teaser</a></h3><p><a href=x>Read on.</a></p></article>" * 3
+    assert html_extract.extract(f"<body>{text}{comments * 4}</body>") == want
+    assert html_extract.extract(f"<body>{text}<div class=comments><ol><li><article><p>{'Nothing of this is true. ' * 90}</p></article></li></ol></div></body>") == want
+    assert html_extract.extract(f"<body>{text}{teasers}</body>") == want
+    assert html_extract.extract(f"<body><div class=has-sidebar><article class='post tag-comment'>{text}{comments}</article></div>{teasers}</body>") == want

@@ -3,8 +3,10 @@
 A tolerant pass over the tags builds the tree. Every node gets its text density adjusted for links (characters per tag,
 scaled down where characters and tags are mostly links'), every node's density sum is that of its children, and the
 subtree with the largest sum is the article's. The least density on the path from that node up to the body is the
-threshold; subtrees beside the path that reach it are taken with it, as is what surrounds the node inside one article
-element. Parts that are no article by their element, role or class are cut off beforehand.
+threshold; subtrees beside the path that reach it are taken with it, and so are headings before it. The sums of all nodes
+compete, inside and outside of article and main elements, which only decide between equal ones; but where the chosen node
+is inside such an element, that is taken whole instead. Parts that are no article by their element, role or class are
+cut off beforehand, article elements of comments and of other articles among them.
 
 Everything is iterative over arrays of nodes, so deep nesting costs no stack.
 """
@@ -39,15 +41,18 @@ ROLES = frozenset("navigation banner contentinfo complementary search form alert
 CLASSES = frozenset(
     "ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation menu breadcrumb breadcrumbs footer cookie cookies consent notice alert popup modal overlay comment comments disqus reply replies share sharing social related recommended newsletter subscribe signup login widget pagination pager toolbar masthead".split()
 )
+#: Those of them that name others' texts; what they are on is cut even where it holds the most text or is an article.
+OTHERS = frozenset("ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion comment comments disqus reply replies related recommended newsletter".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 
 class Tree:
-    """Nodes in document order: tag, parent, attributes' words, and items (text or child) in order."""
+    """Nodes in document order: tag, parent, cut (0, 1, or 2 where nothing lifts it), and items (text or child) in order."""
 
     def __init__(self):
-        self.tag, self.parent, self.cut, self.items = ["#root"], [-1], [False], [[]]
+        self.tag, self.parent, self.cut, self.items = ["#root"], [-1], [0], [[]]
 
-    def add(self, tag: str, parent: int, cut: bool) -> int:
+    def add(self, tag: str, parent: int, cut: int) -> int:
         i = len(self.tag)
         self.tag.append(tag)
         self.parent.append(parent)
@@ -57,18 +62,26 @@ class Tree:
         return i
 
 
-def _cut(tag: str, attributes: str) -> bool:
+def _cut(tag: str, attributes: str) -> int:
     if tag in NOT_ARTICLE:
-        return True
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False
+        return 2
+    if not attributes or tag in ("html", "body", "main"):
+        return 0
+    found = 0
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "role" and value.strip().lower() in ROLES or name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-        if name in ("class", "id") and any(w.lower() in CLASSES for w in _PART.findall(value)):
-            return True
-    return False
+            found = max(found, 1)
+        if name in ("class", "id"):
+            if tag == "article":  # a class may name the article's subjects, so only its first word counts
+                if any((w := _PART.search(x)) and w[0].lower() in OTHERS for x in value.split()):
+                    return 2
+                continue
+            words = {w.lower() for w in _PART.findall(value)}
+            if words & OTHERS:
+                return 2
+            found = max(found, int(not words.isdisjoint(CLASSES)))
+    return found
 
 
 def parse(source: str) -> Tree:
@@ -116,19 +129,27 @@ def parse(source: str) -> Tree:
 
 
 def _keep_around_article(tree: Tree) -> None:
-    """A class name doesn't cut what holds the article or its heading; headers are cut outside of articles only."""
-    inside = [False] * len(tree.tag)
-    for i in range(1, len(tree.tag)):
-        inside[i] = inside[tree.parent[i]] or tree.tag[i] in ("article", "main")
+    """A class name that tells of the layout doesn't cut what holds an article and most of the page's text; headers are
+    cut outside of articles only."""
+    n = len(tree.tag)
+    inside, gone, held, chars = [False] * n, [False] * n, [False] * n, [0] * n
+    for i in range(1, n):
+        p = tree.parent[i]
+        inside[i] = inside[p] or tree.tag[i] in ("article", "main")
         if tree.tag[i] == "header" and not inside[i]:
-            tree.cut[i] = True
-    for i in range(1, len(tree.tag)):
-        if tree.tag[i] in ("article", "main"):
-            p = tree.parent[i]
-            while p > 0:
-                if tree.tag[p] not in NOT_ARTICLE and tree.tag[p] != "header":
-                    tree.cut[p] = False
-                p = tree.parent[p]
+            tree.cut[i] = 2
+        gone[i] = gone[p] or tree.cut[i] == 2
+    for i in range(n - 1, -1, -1):
+        if gone[i]:
+            continue
+        chars[i] += sum(len("".join(t.split())) for t in tree.items[i] if isinstance(t, str))
+        held[i] = held[i] or tree.tag[i] in ("article", "main")
+        if i:
+            chars[tree.parent[i]] += chars[i]
+            held[tree.parent[i]] = held[tree.parent[i]] or held[i]
+    for i in range(1, n):
+        if tree.cut[i] == 1 and held[i] and 2 * chars[i] > chars[0]:
+            tree.cut[i] = 0
 
 
 def main_subtree(tree: Tree) -> list[int]:
@@ -170,27 +191,27 @@ def main_subtree(tree: Tree) -> list[int]:
     candidates = [i for i in range(n) if not gone[i] and chars[i]]
     if not candidates:
         return []
-    # where the page marks its article, the subtree is looked for inside
     marked = [False] * n
     for i in range(1, n):
         marked[i] = marked[tree.parent[i]] or tree.tag[i] in ("article", "main")
-    candidates = [i for i in candidates if marked[i]] or candidates
-    best = max(candidates, key=lambda i: (sums[i], density[i] if not sums[i] else 0.0, -i))
+    best = max(candidates, key=lambda i: (sums[i], density[i] if not sums[i] else 0.0, marked[i], -i))
     path, p = [best], tree.parent[best]
     while p >= 0:
         path.append(p)
         p = tree.parent[p]
     upto = path[: path.index(body) + 1] if body in path else path
     threshold = min(density[i] for i in upto)
+    # short paragraphs and headings of the chosen text's own article are below any threshold
     around = [i for i in path if tree.tag[i] == "article"] or [i for i in path if tree.tag[i] == "main"]
     if around:
         return [around[-1]]
-    # subtrees beside the path that are as dense as its least dense node
+    # subtrees beside the path that are as dense as its least dense node, and headings before it
     on_path, taken = set(upto), {best}
     for p in upto[1:]:
         for child in tree.items[p]:
-            if isinstance(child, int) and child not in on_path and not gone[child] and chars[child] and density[child] >= threshold and link_chars[child] * 2 < chars[child]:
-                taken.add(child)
+            if isinstance(child, int) and child not in on_path and not gone[child] and chars[child] and link_chars[child] * 2 < chars[child]:
+                if density[child] >= threshold or tree.tag[child] in HEADINGS and child < best:
+                    taken.add(child)
     return sorted(taken)
 
 
