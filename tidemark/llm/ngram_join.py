@@ -24,6 +24,8 @@ pivots are plain equi-joins that adaptive execution splits.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
@@ -221,6 +223,8 @@ def _released(run):
     def whole(batches):
         yield from run(batches)
         pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":  # glibc keeps what numpy freed, too
+            getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
 
     return whole
 
