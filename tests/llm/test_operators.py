@@ -358,21 +358,75 @@ def test_bpe_equals_the_library(docs, name):
             assert " ".join(labels) == lib.decode(e.ids, skip_special_tokens=False)
 
 
+def merged(word, merges, suffix=""):
+    """BPE as it is defined: the first merge in the list that some neighbours allow, the leftmost place first."""
+    rank = {m: i for i, m in reversed(list(enumerate(merges)))}
+    parts = [*word[:-1], word[-1] + suffix]
+    while len(parts) > 1:
+        best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(merges)))
+        if (parts[best], parts[best + 1]) not in rank:
+            break
+        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    return parts
+
+
 def test_automaton_equals_merging():
     merges = [("a", "a"), ("a", "b"), ("aa", "b"), ("b", "b"), ("ab", "bb"), ("aa", "aa")]
-    vocab = {t: i for i, t in enumerate(["a", "b", *("".join(m) for m in merges)])}
-    auto = bpe.Automaton(vocab, merges)
-    rank = {m: i for i, m in enumerate(merges)}
-    for n in range(1, 9):
-        for x in range(1 << n):
-            word = format(x, f"0{n}b").replace("0", "a").replace("1", "b")
-            parts = list(word)
-            while len(parts) > 1:
-                best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), 99))
-                if (parts[best], parts[best + 1]) not in rank:
-                    break
-                parts[best : best + 2] = [parts[best] + parts[best + 1]]
-            assert auto.encode(word) == parts, word
+    cases = [(merges, "")]
+    rng = np.random.default_rng(12)
+    for suffix in ("", "$$"):
+        for _ in range(6):  # merges as training makes them: of parts that some word has next to each other
+            words, made = ["".join(rng.choice(list("abc"), int(rng.integers(2, 9)))) for _ in range(30)], []
+            for _ in range(14):
+                pairs = Counter(p for w in words for x in [merged(w, made, suffix)] for p in zip(x, x[1:]))
+                fresh = [p for p in sorted(pairs) if "".join(p) not in {"".join(m) for m in made}]
+                if fresh:
+                    made.append(max(fresh, key=lambda p: pairs[p]))
+            cases.append((made, suffix))
+    for merges, suffix in cases:
+        vocab = {t: i for i, t in enumerate([*"abc", *(c + suffix for c in "abc" if suffix), *("".join(m) for m in merges)])}
+        auto = bpe.Automaton(bpe.compile_merges(vocab, merges, suffix))
+        words = ["".join("abc"[x // 3**k % 3] for k in range(n)) for n in range(1, 7) for x in range(3**n)] + ["ab" * 40, "a" * 99, "", "aab" * 30]
+        found, n = auto.walk_all(pa.array(words))
+        at = 0
+        for w, k in zip(words, n):
+            labels = [auto.labels[t] for t in found[at : at + k]]
+            at += k
+            assert labels == (merged(w, merges, suffix) if w else []), (w, merges, suffix)
+            assert labels == [auto.labels[t] for t in auto.walk(w.encode())]
+
+
+def test_files_of_another_form_are_refused():
+    import json
+
+    content = json.loads(open(tokenizer_path("byte_bpe_50k.json"), "rb").read())
+    content["model"]["vocab"] = {t: i for t, i in content["model"]["vocab"].items() if len(t) == 1}
+    content["model"]["merges"] = []
+    bpe.compile_file(json.dumps(content).encode())
+    for change in ({"normalizer": {"type": "NFKC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"model": {**content["model"], "byte_fallback": True}}):
+        with pytest.raises(ValueError):
+            bpe.compile_file(json.dumps({**content, **change}).encode())
+    with pytest.raises(ValueError):
+        bpe.compile_merges({"a": 0, "b": 1, "c": 2, "ab": 3, "bc": 4, "abc": 5}, [("a", "b"), ("b", "c"), ("ab", "c"), ("a", "bc")])
+    with pytest.raises(ValueError):
+        bpe.Automaton(bpe.compile_merges({"a": 0}, [])).walk_all(pa.array(["ab"]))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_round_trip_and_slices(spark, monkeypatch, docs, name):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "SLICE_CHARS", 500)
+    lib = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["<|endoftext|>", " <|endoftext|> <|ENDOFTEXT|>", "x" * 5000, None, ""] + [d.text for d in docs[:20]]
+    d = spark.createDataFrame(list(enumerate(texts)), DOCS).coalesce(1)
+    out = bpe.encode_texts(d, tokenizer_path(name))
+    back = {r.doc_id: r.decoded for r in bpe.decode_ids(out, tokenizer_path(name)).collect()}
+    written = {r.doc_id: r.ids_text for r in bpe.encode_texts(d, tokenizer_path(name), keep_ids=False).collect()}
+    for r in out.collect():
+        ids = lib.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        assert list(r.ids) == ids and r.n_tokens == len(ids) and written[r.doc_id] == " ".join(map(str, ids))
+        assert r.decoded == back[r.doc_id] == lib.decode(ids, skip_special_tokens=False)
 
 
 def test_encoding_edges(spark, odd):

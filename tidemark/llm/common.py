@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +77,16 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+def released(run):
+    """run, after which the worker gives unused memory back: it may go on to serve other stages."""
+
+    def whole(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":  # glibc keeps what numpy freed, too
+            getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
+
+    return whole
