@@ -31,7 +31,7 @@ def odd(spark):
     """Nulls, empties, a long text, ties, repeated rows and extra columns with clashing names."""
     rows = [(1, None), (2, ""), (3, " \n\t"), (4, "one two"), (5, "One  TWO"), (6, "word " * 5000), (6, "word " * 5000), (None, "a b c d e f"), (7, "a b c d e f"), (8, "Ünï çødé 日本語 \u0000 x")]
     df = spark.createDataFrame(rows, DOCS)
-    names = ["n_shingles", "component_id", "n", "h1", "key", "label", "row", "word", "spans", "n_words", "ids", "verdict", "kept", "lang", "source", "n_chars", "__row"]
+    names = ["n_shingles", "component_id", "n", "h1", "key", "label", "row", "word", "spans", "n_words", "ids", "verdict", "kept", "lang", "source", "n_chars", "__row", "__id", "__hash", "__key"]
     return df.select("*", *[F.lit(1).alias(c) for c in names])
 
 

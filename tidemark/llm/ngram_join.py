@@ -14,9 +14,11 @@ Stages, each of which is bounded in memory:
 2. block rows (key, set id), shuffled once; keys with a single set are dropped in a streaming pass over sorted rows;
 3. in each remaining bucket, the member with the most company is the pivot; (member, pivot) pairs whose sizes and short
    sketches allow a link are verified on the exact sets, and the links give components;
-4. buckets whose members are still in different components get all their pairs across components verified, unless the
-   triangle inequality of the Jaccard distance rules a pair out. That makes the result exact: every pair that links is
-   either verified or already connected.
+4. buckets whose members are still in different components are dealt anew, by two agreeing blocks: the lemma's block and
+   what its successor may be. Most of the documents that met because they share a passage part there. Of the members of
+   such a finer bucket those pairs are verified that are in different components and whose sizes and sketches of 1,024
+   bits allow a link; no other pair leaves the join. That makes the result exact: every pair that links is either
+   verified or already connected.
 
 Hot groups: a group of near copies is dealt over as many keys as it has blocks, aggregates are partial, and the joins on
 pivots are plain equi-joins that adaptive execution splits.
@@ -24,8 +26,6 @@ pivots are plain equi-joins that adaptive execution splits.
 
 from __future__ import annotations
 
-import ctypes
-import sys
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, drop
+from tidemark.llm.common import cut, drop, fresh, released
 
 U = np.uint64
 _M1, _M2, _GOLD = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
@@ -48,7 +48,9 @@ BATCH_ROWS = 200_000
 #: A second, short sketch of each set, which rules most chance candidates out before any set is fetched.
 SKETCH_WORDS = 32
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+#: Words of the sketches that pairs with a pivot are ruled out by first, and pairs within a finer bucket.
 FOLDED = 4
+FINER = 16
 
 
 def times(k: int, factor: np.uint64) -> np.uint64:
@@ -191,44 +193,43 @@ def parity_sketch(members: np.ndarray, blocks: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(U)
 
 
+def _blocks(members: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For pairs within the set's own band, and with the band before: the sketch's blocks, each one's key, each one's successor."""
+    own = bands.of(len(members))
+    for band in (own, own - 1):
+        if band >= 0 and (blocks := bands.blocks(band)) >= 2:
+            words = parity_sketch(members, blocks)
+            yield words, mix(words + mix(np.arange(blocks, dtype=U) + times(band, _P))), np.roll(words, -1)
+
+
 @_wrapping
 def block_keys(members: np.ndarray, bands: Bands) -> list[np.ndarray]:
     """The bucket keys of a set: one for each block, more for sparse blocks. Equal sets need no bucket."""
-    own, out = bands.of(len(members)), []
-    for band in (own, own - 1):
-        if band < 0 or (blocks := bands.blocks(band)) < 2:
-            continue
-        words = parity_sketch(members, blocks)
-        tagged = mix(words + mix(np.arange(blocks, dtype=U) + times(band, _P)))
+    out = []
+    for words, tagged, following in _blocks(members, bands):
         sparse = np.bitwise_count(words) < SPARSE
         out.append(tagged[~sparse])
         if sparse.any():
-            which = np.flatnonzero(sparse)
-            following = words[(which + 1) % blocks]
-            out.append(mix(tagged[which] + mix(following + _GOLD)))
+            tagged, following = tagged[sparse], following[sparse]
+            out.append(mix(tagged + mix(following + _GOLD)))
             bit = np.flatnonzero(np.unpackbits(following.view(np.uint8), bitorder="little"))
             row = bit >> 6
-            out.append(mix(tagged[which[row]] + mix((following[row] ^ (U(1) << (bit & 63).astype(U))) + _GOLD)))
+            out.append(mix(tagged[row] + mix((following[row] ^ (U(1) << (bit & 63).astype(U))) + _GOLD)))
     return out
 
 
+@_wrapping
+def successors(members: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket key, the block after it) of every block that is not sparse."""
+    out = [(tagged[some], following[some]) for words, tagged, following in _blocks(members, bands) for some in [np.bitwise_count(words) >= SPARSE]]
+    return (np.concatenate([k for k, _ in out]), np.concatenate([x for _, x in out])) if out else (members[:0], members[:0])
+
+
 def _texts(batches: Iterator[pa.RecordBatch]):
     for b in batches:
         yield b, b.column(b.schema.get_field_index("text"))
 
 
-def _released(run):
-    """run, after which the worker gives unused memory back: it may go on to serve other stages."""
-
-    def whole(batches):
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        if sys.platform == "linux":  # glibc keeps what numpy freed, too
-            getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)(0)
-
-    return whole
-
-
 def _set_id(members: np.ndarray) -> tuple[int, int]:
     x = xxhash.xxh3_128_digest(members.tobytes())
     return int.from_bytes(x[:8], "little", signed=True), int.from_bytes(x[8:], "little", signed=True)
@@ -249,7 +250,7 @@ def set_ids(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(h[:, 0]), pa.array(h[:, 1]), *[pa.array(k[:, i]) for i in range(SKETCH_WORDS)]], ["doc_id", "text_hash", "n", "h1", "h2", *SKETCH])
 
     kinds = ", ".join(f"{c} long" for c in SKETCH)
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_released(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long, {kinds}")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(released(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, h1 long, h2 long, {kinds}")
 
 
 def block_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -286,7 +287,7 @@ def block_rows(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
         if held:
             yield out()
 
-    return docs.mapInArrow(_released(run), "key long, h1 long")
+    return docs.mapInArrow(released(run), "key long, h1 long")
 
 
 def shared_blocks(rows: DataFrame) -> DataFrame:
@@ -317,52 +318,76 @@ def shared_blocks(rows: DataFrame) -> DataFrame:
             if len(ok):
                 yield pa.RecordBatch.from_arrays([pa.array(ok), pa.array(ov)], ["key", "h1"])
 
-    return rows.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_released(run), "key long, h1 long")
+    return rows.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(released(run), "key long, h1 long")
 
 
-def _filter_words(spark, reps: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS bits over the representatives' hashed ids: constant size, built by a grouped bit_or."""
-    slot = F.expr(f"shiftrightunsigned(xxhash64(rep), {64 - FILTER_BITS})")
-    words = reps.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits")).toArrow()
+def _filter_words(spark, values: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS bits over a column of hashes: constant size, built by a grouped bit_or."""
+    slot = F.expr(f"shiftrightunsigned({values.columns[0]}, {64 - FILTER_BITS})")
+    words = values.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     return bitmap
 
 
-def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """h1, h2 and the set's members (packed) of every class whose h1 is wanted, from one document of each class.
+def _is_set(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slots = (values.view(U) >> U(64 - FILTER_BITS)).astype(np.int64)
+    return (bitmap[slots >> 6] >> (slots & 63)) & 1 > 0
 
-    A bitmap of constant size keeps most other documents from being shingled and shuffled; the join after it is exact.
+
+def representatives(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int, rows, schema: str) -> DataFrame:
+    """rows(h1, h2, set) for one document (or a few equal ones) of every class whose h1 is wanted; schema is that of rows.
+
+    A bitmap of constant size keeps most other documents from being shingled; what it lets through by chance is left to
+    the caller's joins by h1 and h2.
     """
     spark = docs.sparkSession
-    reps = classes.join(wanted, "h1", "left_semi").select("h1", "h2", "rep")
-    reps = cut(reps, "reps", release=False)
-    bitmap = spark.sparkContext.broadcast(_filter_words(spark, reps))
-    slot = F.expr(f"shiftrightunsigned(xxhash64(coalesce(doc_id, {_NO_ID}L)), {64 - FILTER_BITS})").alias("slot")
+    bitmap = spark.sparkContext.broadcast(_filter_words(spark, classes.join(wanted, "h1", "left_semi").select("rep")))
 
     def run(batches):
-        bits = bitmap.value
         for b, texts in _texts(batches):
-            slots = b.column(2).to_numpy()
-            hit = np.flatnonzero((bits[slots >> 6] >> (slots & 63)) & 1)
-            for at in range(0, len(hit), 2000):
-                part = pa.array(hit[at : at + 2000])
-                rows = [(d, *_set_id(s), s.tobytes()) for d, s in zip(b.column(0).take(part).to_pylist(), shingle_sets(texts.take(part), width)) if len(s)]
-                if not rows:
-                    continue
-                d, h1, h2, s = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(s, pa.binary())], ["rep", "h1", "h2", "members"])
+            hit = np.flatnonzero(_is_set(bitmap.value, b.column(0).to_numpy()))
+            for at in range(0, len(hit), 500):
+                found = [rows(*_set_id(s), s) for s in shingle_sets(texts.take(pa.array(hit[at : at + 500])), width) if len(s)]
+                if found:
+                    yield pa.Table.from_batches(found).combine_chunks().to_batches()[0]
+
+    return docs.select(F.xxhash64("doc_id").alias("rep"), "text").mapInArrow(released(run), schema)
+
+
+def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """h1, h2 and the set's members (packed) of every class whose h1 is wanted."""
+
+    def row(h1, h2, s):
+        return pa.RecordBatch.from_arrays([pa.array([h1], pa.int64()), pa.array([h2], pa.int64()), pa.array([s.tobytes()], pa.binary())], ["h1", "h2", "members"])
+
+    found = representatives(docs, classes, wanted, width, row, "h1 long, h2 long, members binary")
+    return found.join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"])
+
+
+def finer_rows(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(key, h1, label) in finer buckets, from rows (key, h1, label) in open ones: the key stands for two blocks, the old
+    one and its successor, which two sets may have equal or one bit apart. Sparse blocks' keys have their successor already."""
+
+    def row(h1, h2, s):
+        keys, following = successors(s, Bands(num, den))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), h1)), pa.array(following.view(np.int64))], ["key", "h1", "following"])
 
-    found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", slot).mapInArrow(_released(run), "rep long, h1 long, h2 long, members binary")
-    # a document id may be repeated: any one row of a class will do
-    return found.join(reps, ["rep", "h1", "h2"], "left_semi").dropDuplicates(["rep", "h1", "h2"])
+    blocks = representatives(docs, classes, opened.select("h1").distinct(), width, row, "key long, h1 long, following long")
+    blocks = blocks.join(opened.select("key", "h1").distinct(), ["key", "h1"], "left_semi").distinct()
+    without = F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("following", b) == 1), lambda b: F.col("following").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
+    parts = opened.join(blocks, ["key", "h1"], "left").withColumn("part", F.explode_outer(F.when(F.col("following").isNotNull(), F.concat(F.array("following"), without))))
+    return parts.select(F.when(F.col("following").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), "h1", "label").distinct()
 
 
-_NO_ID = -(1 << 63) + 1
+def open_rows(rows: DataFrame) -> DataFrame:
+    """The rows (key, h1, label) of keys that have two labels or more."""
+    ends = rows.groupBy("key").agg(*[f(f"label.{c}").alias(f"{k}{c}") for c in ("h1", "h2") for f, k in ((F.min, "lo"), (F.max, "hi"))])
+    return rows.join(ends.where("loh1 <> hih1 or loh2 <> hih2").select("key"), "key", "left_semi")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) set ids -> a1, a2, b1, b2, distance, linked, from the exact sets."""
+    """(a, b) set ids -> a, a2, b, b2, linked, from the exact sets."""
     left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("members").alias("sa"))
     right = sets.select(F.col("h1").alias("b"), F.col("h2").alias("b2"), F.col("members").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "a2", "b", "b2", "sa", "sb")
@@ -378,9 +403,9 @@ def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 inter.append(i)
                 union.append(len(z) - i)
             i, u = np.array(inter, np.int64), np.array(union, np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(1 - i / np.maximum(u, 1)), pa.array(den * i >= num * u)], ["a", "a2", "b", "b2", "distance", "linked"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(den * i >= num * u)], ["a", "a2", "b", "b2", "linked"])
 
-    return both.mapInArrow(_released(run), "a long, a2 long, b long, b2 long, distance double, linked boolean")
+    return both.mapInArrow(released(run), "a long, a2 long, b long, b2 long, linked boolean")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -403,14 +428,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def folded_sketches(classes: DataFrame) -> DataFrame:
-    """h1, n, f0 .. f3: the sketches folded to 256 bits, which are parity sketches too."""
-    fold = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in SKETCH[i::FOLDED]]).alias(f"f{i}") for i in range(FOLDED)]
+def folded_sketches(classes: DataFrame, words: int = FOLDED) -> DataFrame:
+    """h1, n, f0, f1 ...: the sketches folded to fewer words, which are parity sketches too."""
+    fold = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in SKETCH[i::words]]).alias(f"f{i}") for i in range(words)]
     return classes.select("h1", "n", *fold)
 
 
 def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) -> a, b, least (a lower bound of the Jaccard distance), candidate: sizes and Hamming distances allow a link.
+    """(a, b) -> a, b, candidate: sizes and Hamming distances allow a link.
 
     The folded sketches rule most pairs out; only what they leave is looked up in the whole sketches.
     """
@@ -422,7 +447,7 @@ def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
         total = F.col("x_n") + F.col("y_n")
         sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
         found = both.select("a", "b", bits.alias("bits"), total.alias("total"), sizes.alias("sizes"))
-        return found.select("a", "b", (2 * F.col("bits") / (F.col("total") + F.col("bits"))).alias("least"), (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
+        return found.select("a", "b", (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
 
     first = cut(looked_up(pairs, folded_sketches(classes), [f"f{i}" for i in range(FOLDED)]), "folded", release=False)
     second = looked_up(first.where("candidate").select("a", "b"), classes, SKETCH)
@@ -452,7 +477,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     ids = cut(set_ids(docs, width), "set-ids")
-    classes = ids.where("n > 0").groupBy("h1", "h2").agg(F.coalesce(F.min("doc_id").cast("long"), F.lit(_NO_ID)).alias("rep"), F.min("doc_id").alias("least_id"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in SKETCH])
+    classes = ids.where("n > 0").groupBy("h1", "h2").agg(F.min(F.xxhash64("doc_id")).alias("rep"), F.min("doc_id").alias("least_id"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in SKETCH])
     classes = cut(classes, "classes")
     shared = cut(shared_blocks(block_rows(docs, width, num, den)), "shared")
 
@@ -469,27 +494,27 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     checked, labels = _linked(docs, classes, nodes, near.where("candidate").select("a", "b"), None, width, num, den)
 
     # what is left: pairs in buckets of three and more that are in different components and without their pivot
-    folded = [f"f{i}" for i in range(FOLDED)]
-    at = placed.where("company > 2").join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", "pivot", F.coalesce("label", "own").alias("label"))
-    open_keys = at.groupBy("key").agg(*[f(f"label.{c}").alias(f"{k}{c}") for c in ("h1", "h2") for f, k in ((F.min, "lo"), (F.max, "hi"))]).where("loh1 <> hih1 or loh2 <> hih2").select("key")
-    exact = checked.groupBy("a", "b").agg(F.min("distance").alias("distance"))
-    far = near.join(exact, ["a", "b"], "left").select(F.col("a").alias("h1"), F.col("b").alias("pivot"), F.coalesce("distance", "least").alias("lo"), F.coalesce("distance", F.lit(1.0)).alias("hi"))
-    opened = at.join(open_keys, "key", "left_semi").join(far, ["h1", "pivot"]).join(folded_sketches(classes), "h1").select("key", "h1", "label", "lo", "hi", "n", *folded)
-    opened = cut(opened, "open")
-    x, y = opened.alias("x"), opened.alias("y")
-    reach = 1 - num / den + 1e-9
+    at = placed.where("company > 2").select("key", "h1").union(placed.where("company > 2").select("key", F.col("pivot").alias("h1")).distinct())
+    at = at.join(nodes.select("h1", F.col("label").alias("own")), "h1").join(labels.select("h1", "label"), "h1", "left").select("key", "h1", F.coalesce("label", "own").alias("label"))
+    opened = cut(open_rows(at), "open")
+    finer = cut(finer_rows(docs, classes, opened, width, num, den), "finer")
+    drop(opened)
+    folded = [f"f{i}" for i in range(FINER)]
+    finest = cut(open_rows(finer).join(folded_sketches(classes, FINER), "h1"), "finest")
+    drop(finer)
+    x, y = finest.alias("x"), finest.alias("y")
     bits = sum((F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in folded), F.lit(0))
-    within = (F.col("x.lo") - F.col("y.hi") <= reach) & (F.col("y.lo") - F.col("x.hi") <= reach)
-    within = within & (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")) & (bits * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num))
+    within = (den * F.least("x.n", "y.n") >= num * F.greatest("x.n", "y.n")) & (bits * (den + num) <= (F.col("x.n") + F.col("y.n")) * (den - num))
     more = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & within)
     more = more.select(F.least("x.h1", "y.h1").alias("a"), F.greatest("x.h1", "y.h1").alias("b")).distinct()
     more = cut(by_sketch(more, classes, num, den).where("candidate").select("a", "b"), "more")
+    drop(finest)
     if not more.isEmpty():  # whole components move on from the labels that they have
         known = labels.select("h1", "h2", F.col("label").alias("known"))
         start = nodes.join(known, ["h1", "h2"], "left").select("h1", "h2", F.least("label", "known").alias("label"))
         again, labels = _linked(docs, classes, start, more, checked, width, num, den)
         drop(again)
-    drop(placed, near, checked, opened, more)
+    drop(placed, near, checked, more)
     least = labels.join(classes.select("h1", "h2", "least_id"), ["h1", "h2"]).groupBy("label").agg(F.min("least_id").alias("linked_id"))
     final = labels.join(least, "label").select("h1", "h2", "label", "linked_id")
     out = ids.join(classes.select("h1", "h2", "least_id"), ["h1", "h2"], "left").join(final, ["h1", "h2"], "left")
@@ -502,17 +527,19 @@ def keep_one_of_each(docs: DataFrame, width: int = 4, num: int = 85, den: int =
     """docs with one row of each component: the one whose doc_id is the least. Rows without words all stay.
 
     Only what goes is joined with the documents, by id and a hash of the text, so that a repeated id takes nothing else
-    with it. Of rows of one component that share the least id (or have none) one stays.
+    with it. Of rows of one component that share the least id (or have none) one stays. All columns stay, whatever their
+    names.
     """
     found = cut(ngram_jaccard_join(docs, width, num, den), "components")
-    gone = found.where("n_shingles > 0 and not doc_id <=> component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    kept = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__hash")), "left_anti")
+    own, other = fresh(docs, "id"), fresh(docs, "hash")
+    marks = lambda rows: rows.select(F.col("doc_id").alias(own), F.col("text_hash").alias(other)).distinct()
+    same = lambda d: d["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(d["text"].cast("string")) == F.col(other))
+    gone = marks(found.where("n_shingles > 0 and not doc_id <=> component_id"))
+    kept = docs.join(gone.hint("shuffle_hash"), same(docs), "left_anti")
     stay = found.where("n_shingles > 0 and doc_id <=> component_id")
     if stay.groupBy("component_hash").count().where("count > 1").isEmpty():
         return kept
     first = stay.groupBy("component_hash").agg(F.min(F.struct("set_hash", "text_hash")).alias("first"))
-    later = stay.join(first, "component_hash").where("struct(set_hash, text_hash) <> first").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    wordless = found.where("n_shingles = 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    kept = kept.join(later, kept["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(kept["text"].cast("string")) == F.col("__hash")), "left_anti")
-    same = lambda d: d["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(d["text"].cast("string")) == F.col("__hash"))
+    kept = kept.join(marks(stay.join(first, "component_hash").where("struct(set_hash, text_hash) <> first")), same(kept), "left_anti")
+    wordless = marks(found.where("n_shingles = 0"))
     return kept.join(wordless, same(kept), "left_anti").dropDuplicates(["doc_id", "text"]).unionByName(docs.join(wordless, same(docs), "left_semi"))
