@@ -43,7 +43,7 @@ def test_query_equals_sql(spark, name):
 # 1
 
 
-def jaccard_components(texts, width=4):
+def jaccard_components(texts, width=4, num=85):
     sets = []
     for t in texts:
         w = (t or "").encode().lower().split()
@@ -57,7 +57,7 @@ def jaccard_components(texts, width=4):
 
     for i in range(len(sets)):
         for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j]):
                 a, b = find(i), find(j)
                 label[max(a, b)] = min(a, b)
     return [len(s) for s in sets], [find(i) for i in range(len(texts))]
@@ -92,6 +92,10 @@ def test_sketches_bound_the_difference_and_share_a_block():
         apart = len(a) + len(b) - 2 * both
         x, y = ngram_join.parity_sketch(a, 32), ngram_join.parity_sketch(b, 32)
         assert int(np.bitwise_count(x ^ y).sum()) <= apart
+        p, q = sorted((ngram_join.own_sketch(a), ngram_join.own_sketch(b)), key=len)
+        while len(q) > len(p):
+            q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+        assert int(np.bitwise_count(p ^ q).sum()) <= apart
         if apart and 100 * both >= 85 * (len(a) + len(b) - both):
             assert np.intersect1d(np.concatenate(ngram_join.block_keys(a, bands)), np.concatenate(ngram_join.block_keys(b, bands))).size
 

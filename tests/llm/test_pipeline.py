@@ -28,7 +28,7 @@ def test_run_equals_the_plain_version(spark):
         words = r.text.split()
         if not failed and 2 <= chars / n <= 20 and symbols / n <= 0.3 and sum(w in stop for w in words) / n >= 0.02 and dup / max(len(lines), 1) <= 0.5:
             rows.append(r)
-    _, labels = jaccard_components([r.text for r in rows])
+    _, labels = jaccard_components([r.text for r in rows], 5, 80)
     rows = [r for i, r in enumerate(rows) if labels[i] == i]
     rows = [r for r in rows if not brute_hits(r.text, items, 10)[1]]
     tok = bpe.Tokenizer(open(tokenizer_path("word_bpe_49k.json"), "rb").read())

@@ -30,15 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir
 
 
-def cut(df: DataFrame, label: str, release: bool = True) -> DataFrame:
+#: Rows of a batch that goes to a Python worker while cut() writes; whole texts come in them.
+BATCH = 2000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def cut(df: DataFrame, label: str, release: bool = True, batch: int = BATCH) -> DataFrame:
     """Cut the lineage: write df as Parquet into the shared folder and read it again.
 
     Executors that are lost later cost nothing, as the rows are in the shared store. release: let the driver collect its
-    garbage, upon which Spark removes the shuffle files of what is written now.
+    garbage, upon which Spark removes the shuffle files of what is written now. batch: the most rows that a worker gets
+    at once; the session's own setting holds again afterwards.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    own = spark.conf.get(_ROWS)
+    try:
+        spark.conf.set(_ROWS, str(min(int(own), batch) if int(own) > 0 else batch))
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, own)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     if release:

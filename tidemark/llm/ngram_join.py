@@ -12,8 +12,10 @@ Stages, each of which is bounded in memory:
 
 1. set ids: every distinct set gets a 128-bit id; copies collapse into classes before anything is compared;
 2. block rows (key, set id), shuffled once; keys with a single set are dropped in a streaming pass over sorted rows;
-3. in each remaining bucket, the member with the most company is the pivot; (member, pivot) pairs whose sizes and short
-   sketches allow a link are verified on the exact sets, and the links give components;
+3. in each remaining bucket, the member with the most company is the pivot. Of the (member, pivot) pairs whose sizes and
+   short sketches allow a link, each member's with the pivot that it shares the most buckets with are verified on the
+   exact sets first, then those that this has not connected; the links give components. Before whole sets are fetched,
+   sketches in proportion to them rule out what the short ones can't;
 4. buckets whose members are still in different components are dealt anew, by two agreeing blocks: the lemma's block and
    what its successor may be. Most of the documents that met because they share a passage part there. Of the members of
    such a finer bucket those pairs are verified that are in different components and whose sizes and sketches of 1,024
@@ -45,6 +47,8 @@ SPARSE = 3
 #: Bits of the filter that keeps documents without candidates out of the verification; 8 MB at any input size.
 FILTER_BITS = 26
 BATCH_ROWS = 200_000
+#: Pairs of whole sets that a worker gets at once.
+PAIRS = 200
 #: A second, short sketch of each set, which rules most chance candidates out before any set is fetched.
 SKETCH_WORDS = 32
 SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
@@ -386,6 +390,41 @@ def open_rows(rows: DataFrame) -> DataFrame:
     return rows.join(ends.where("loh1 <> hih1 or loh2 <> hih2").select("key"), "key", "left_semi")
 
 
+def own_sketch(members: np.ndarray) -> np.ndarray:
+    """A parity sketch of four to eight bits a member; its size is a power of two, so that it folds to any smaller one."""
+    return parity_sketch(members, 1 << max(0, len(members) // 16).bit_length())
+
+
+def within_reach(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The (a, b) whose sketches in proportion to their sets allow a link. Where sets are long, the short sketches leave
+    many pairs below the threshold, and a whole set weighs sixteen times its sketch."""
+
+    def sketched(batches):
+        for b in batches:
+            found = [np.frombuffer(x.as_buffer(), U) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array([own_sketch(x).tobytes() for x in found], pa.binary())], ["h1", "n", "bits"])
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for x, y, n in zip(b.column(2), b.column(3), b.column(4).to_pylist()):
+                x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+                while len(x) != len(y):
+                    if len(x) < len(y):
+                        x, y = y, x
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                keep.append(int(np.bitwise_count(x ^ y).sum()) * (den + num) <= n * (den - num))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["a", "b"])
+
+    short = cut(sets.select("h1", "members").mapInArrow(released(sketched), "h1 long, n long, bits binary"), "sketches", batch=PAIRS)
+    side = lambda c: short.select(F.col("h1").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "bits_a", "bits_b", (F.col("n_a") + F.col("n_b")).alias("n"))
+    out = cut(both.mapInArrow(released(run), "a long, b long").distinct(), "reach")
+    drop(short)
+    return out
+
+
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(a, b) set ids -> a, a2, b, b2, linked, from the exact sets."""
     left = sets.select(F.col("h1").alias("a"), F.col("h2").alias("a2"), F.col("members").alias("sa"))
@@ -435,7 +474,7 @@ def folded_sketches(classes: DataFrame, words: int = FOLDED) -> DataFrame:
 
 
 def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b) -> a, b, candidate: sizes and Hamming distances allow a link.
+    """pairs (a, b and any other columns) with candidate: sizes and Hamming distances allow a link.
 
     The folded sketches rule most pairs out; only what they leave is looked up in the whole sketches.
     """
@@ -444,26 +483,30 @@ def by_sketch(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataF
         side = lambda name, p: table.select(F.col("h1").alias(name), F.col("n").alias(p + "n"), *[F.col(c).alias(p + c) for c in words])
         both = pairs.join(side("a", "x_"), "a").join(side("b", "y_"), "b")
         bits = sum((F.bit_count(F.col("x_" + c).bitwiseXOR(F.col("y_" + c))) for c in words), F.lit(0))
-        total = F.col("x_n") + F.col("y_n")
         sizes = den * F.least("x_n", "y_n") >= num * F.greatest("x_n", "y_n")
-        found = both.select("a", "b", bits.alias("bits"), total.alias("total"), sizes.alias("sizes"))
-        return found.select("a", "b", (F.col("sizes") & (F.col("bits") * (den + num) <= F.col("total") * (den - num))).alias("candidate"))
+        return both.select(*pairs.columns, (sizes & (bits * (den + num) <= (F.col("x_n") + F.col("y_n")) * (den - num))).alias("candidate"))
 
     first = cut(looked_up(pairs, folded_sketches(classes), [f"f{i}" for i in range(FOLDED)]), "folded", release=False)
-    second = looked_up(first.where("candidate").select("a", "b"), classes, SKETCH)
+    second = looked_up(first.where("candidate").drop("candidate"), classes, SKETCH)
     return first.where("not candidate").unionByName(second)
 
 
+def _from(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """nodes with the labels that they have by now."""
+    known = labels.select("h1", "h2", F.col("label").alias("known"))
+    return nodes.join(known, ["h1", "h2"], "left").select("h1", "h2", F.least("label", "known").alias("label"))
+
+
 def _linked(docs: DataFrame, classes: DataFrame, nodes: DataFrame, pairs: DataFrame, before: DataFrame | None, width: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """The pairs verified on their sets, and the components of all links so far."""
+    """All links so far, with those among the pairs that their sets verify, and the components of all links."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("h1")).distinct()
     sets = cut(member_sets(docs, classes, wanted, width), "sets")
-    checked = cut(verify(pairs, sets, num, den), "checked")
-    drop(sets)
-    links = checked.where("linked").select("a", "a2", "b", "b2")
+    links = verify(within_reach(pairs, sets, num, den), sets, num, den).where("linked").select("a", "a2", "b", "b2")
     if before is not None:
-        links = links.union(before.where("linked").select("a", "a2", "b", "b2"))
-    return checked, components(nodes, links)
+        links = links.union(before)
+    links = cut(links, "links", batch=PAIRS)
+    drop(sets)
+    return links, components(nodes, links)
 
 
 def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -488,10 +531,19 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     pivot = member.groupBy("key").agg(F.max(F.struct("weight", "h1")).alias("top"), F.count("*").alias("company")).select("key", F.col("top.h1").alias("pivot"), "company")
     placed = cut(member.join(pivot, "key").where("h1 <> pivot").select("key", "h1", "pivot", "company"), "placed")
     drop(member)
-    near = cut(by_sketch(placed.select(F.col("h1").alias("a"), F.col("pivot").alias("b")).distinct(), classes, num, den), "near")
+    company = placed.groupBy(F.col("h1").alias("a"), F.col("pivot").alias("b")).agg(F.count("*").alias("shared"))
+    near = cut(by_sketch(company, classes, num, den).where("candidate").select("a", "b", "shared"), "near")
     # document ids may be null or repeated, so a class is labelled by its own set id
     nodes = classes.select("h1", "h2", F.struct("h1", "h2").alias("label"))
-    checked, labels = _linked(docs, classes, nodes, near.where("candidate").select("a", "b"), None, width, num, den)
+    # first every member with the pivot that it shares the most with, then the pairs that this has not connected
+    best = near.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("top")).select("a", F.col("top.b").alias("b"))
+    checked, labels = _linked(docs, classes, nodes, cut(best, "best", release=False), None, width, num, den)
+    ends = nodes.select("h1", F.col("label").alias("own")).join(labels.select("h1", "label"), "h1", "left").select("h1", F.coalesce("label", "own").alias("label"))
+    side = lambda c: ends.select(F.col("h1").alias(c), F.col("label").alias(f"label_{c}"))
+    apart = cut(near.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").where("label_a <> label_b").select("a", "b"), "apart")
+    if not apart.isEmpty():
+        checked, labels = _linked(docs, classes, _from(nodes, labels), apart, checked, width, num, den)
+    drop(apart)
 
     # what is left: pairs in buckets of three and more that are in different components and without their pivot
     at = placed.where("company > 2").select("key", "h1").union(placed.where("company > 2").select("key", F.col("pivot").alias("h1")).distinct())
@@ -510,10 +562,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 4, num: int = 85, den: int
     more = cut(by_sketch(more, classes, num, den).where("candidate").select("a", "b"), "more")
     drop(finest)
     if not more.isEmpty():  # whole components move on from the labels that they have
-        known = labels.select("h1", "h2", F.col("label").alias("known"))
-        start = nodes.join(known, ["h1", "h2"], "left").select("h1", "h2", F.least("label", "known").alias("label"))
-        again, labels = _linked(docs, classes, start, more, checked, width, num, den)
-        drop(again)
+        checked, labels = _linked(docs, classes, _from(nodes, labels), more, checked, width, num, den)
     drop(placed, near, checked, more)
     least = labels.join(classes.select("h1", "h2", "least_id"), ["h1", "h2"]).groupBy("label").agg(F.min("least_id").alias("linked_id"))
     final = labels.join(least, "label").select("h1", "h2", "label", "linked_id")
