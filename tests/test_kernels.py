@@ -41,6 +41,19 @@ def test_triangulation_resists_an_outlier():
     np.testing.assert_allclose(point, x, atol=1e-6)
 
 
+def test_weights_are_of_squared_residuals():
+    """Of two cameras that see a point along a line, the mean weighted by confidence is the least squares' answer."""
+    eye = np.hstack([np.eye(3), np.zeros((3, 1))])
+    far = eye.copy()
+    far[1, 3] = -1.0  # tells the depth
+    views = np.stack([eye, eye, far])
+    xy = np.array([[0.0, 0.0], [1e-3, 0.0], [np.nan, np.nan]])
+    xy[2] = (0.0, -0.2)
+    point, _, _ = K.triangulate(views, xy, np.array([0.9, 0.3, 0.9]), rounds=0)
+    # x / z of the point: the three views' x weighted by 0.9, 0.3 and 0.9
+    assert point[0] / point[2] == pytest.approx(0.3 * 1e-3 / 2.1, rel=1e-3)
+
+
 def test_many_points_equal_one_by_one():
     rng, views = np.random.default_rng(12), cameras()
     x = rng.normal(size=(50, 3)) + [0, 0, 6]
@@ -97,7 +110,10 @@ def test_clips_keep_to_the_budget():
     c[[10, 50, 90]], s[[10, 50, 90]] = True, (1, 3, 2)
     out = K.bounded_clips(c, s, 4, 0.1)
     assert out.sum() <= 10 and out[50]
-    assert K.bounded_clips(c, s, 15, 0.1)[50]
+    assert np.flatnonzero(K.bounded_clips(c, s, 15, 0.1)).tolist() == list(range(45, 55))  # cropped around the worst
+    assert np.flatnonzero(K.bounded_clips(c, np.ones(100), 2, 0.05)).tolist() == list(range(88, 93))  # of equal ones the later
+    s[50] = np.nan
+    assert K.bounded_clips(c, s, 4, 0.09)[90]
 
 
 def test_extrema_are_separated():
@@ -123,6 +139,10 @@ def test_tracking_both_ways():
 def test_identity_gate_breaks_the_chain():
     a, far = np.array([0, 0, 1, 1.0]), np.array([50, 50, 51, 51.0])
     assert K.identity_gate([a, far, a, None, far]) == [False, True, False, False, False]
+    # 0.36 is over the tracker's threshold and under the gate's 0.38
+    b = np.array([0.0, 0.0, 0.2, 0.2])
+    near = next(b + np.array([x, 0, x, 0]) for x in np.arange(0.05, 0.3, 0.001) if K.box_affinity(b, b + np.array([x, 0, x, 0])) < 0.375)
+    assert K.box_affinity(b, near) > K.ASSOCIATION and K.identity_gate([b, near]) == [False, True]
 
 
 def test_correlation_finds_the_lag():

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,9 +61,10 @@ def test_holdout_is_one_of_each_stride(spark):
 
 
 def test_status_fixtures(spark):
-    d = spark.createDataFrame([(5.0, 20.0, True), (8.0, 40.0, True), (21.0, 50.0, True), (1.0, 2.0, False), (None, 2.0, True)], "m double, p double, a boolean")
+    d = spark.createDataFrame([(5.0, 20.0, "PASS"), (8.0, 40.0, "PASS"), (21.0, 50.0, "PASS"), (1.0, 2.0, "FAIL"), (None, 2.0, "PASS"), (5.0, 20.0, "REVIEW"), (5.0, 20.0, None)], "m double, p double, a string")
     got = [r.s for r in d.select(status.consistency(F.col("m"), F.col("p"), F.col("a"), F.lit(10.0)).alias("s")).collect()]
-    assert got == ["PASS", "REVIEW", "NO_GO", "NO_GO", "NO_GO"]
+    review, no_go = "REVIEW_POSE_CAMERA_CONSISTENCY", "NO_GO_TRIANGULATION"
+    assert got == ["PASS", review, no_go, no_go, no_go, review, review]
     row = spark.range(1).select(status.worst_of(F.array(F.lit("PASS"), F.lit("FAIL"), F.lit("REVIEW"))).alias("w"), status.family(F.lit("NO_GO_X")).alias("f"), status.bitmask(F.lit(True), F.lit(False), F.lit(True)).alias("b")).first()
     assert tuple(row) == ("FAIL", "FAIL", 5)
     sets = [((1, 2), (1, 2)), ((1, 3), (1, 2)), ((1, 2, 3), (1, 2))]
@@ -112,3 +114,19 @@ def test_whole_graph_and_conflicting_components(spark):
             a, b = find(r.l_partkey), find(r.l_suppkey + 1_000_000_000)
             parent[max(a, b)] = min(a, b)
     assert {r.id: r.component for r in QUERIES["components_whole"](spark, folder).collect()} == {i: find(i) for i in list(parent)}
+
+
+def test_affinity_by_hand(spark):
+    """Values worked out from the rule, and equal to the kernel's."""
+    import math
+
+    from tidemark.functions import boxes
+    from tidemark.operators import kernels
+
+    cases = [((0, 0, 1, 1), (0, 0, 1, 1), 1, 1.0), ((0, 0, 1, 1), (0, 0, 1, 1), 3, math.exp(-0.24)), ((0.0, 0.0, 0.2, 0.2), (0.5, 0.5, 0.7, 0.7), 1, 0.0), ((0, 0, 0.5, 0.5), (0, 0, 0.1, 0.1), 1, 0.0)]
+    overlap, shift = 0.1 / 0.3, 0.1 / 0.14  # two boxes of 0.2 by 1, half beside each other
+    cases.append(((0, 0, 0.2, 1), (0.1, 0, 0.3, 1), 1, 0.5 * overlap + 0.25 * math.exp(-(shift**2)) + 0.25))
+    box = lambda b: F.struct(*[F.lit(float(v)).alias(n) for v, n in zip(b, ("x1", "y1", "x2", "y2"))])
+    for a, b, gap, want in cases:
+        assert spark.range(1).select(boxes.affinity(box(a), box(b), F.lit(gap))).first()[0] == pytest.approx(want, abs=1e-9)
+        assert kernels.box_affinity(np.array(a, float), np.array(b, float), gap) == pytest.approx(want, abs=1e-9)

@@ -77,11 +77,18 @@ def occludes(target: Column, other: Column) -> Column:
     return (iou(target, other) >= 0.05) | (containment(target, other) >= 0.15) | (center_distance(target, other) <= 0.65 * F.sqrt(area(target)))
 
 
+# The weights of overlap, centre, area and aspect.
+AFFINITY = {"overlap": 0.50, "centre": 0.25, "area": 0.15, "aspect": 0.10}
+
+
 def affinity(previous: Column, current: Column, gap: Column) -> Column:
-    """How well a box continues a track: overlap, centre, area and aspect, decayed by the gap in frames."""
-    scale = F.sqrt(area(previous))
-    shift = center_distance(previous, current) / scale
-    area_change = F.abs(F.ln(area(current) / area(previous)))
-    aspect_change = F.abs(F.ln(aspect(current) / aspect(previous)))
-    value = 0.5 * iou(previous, current) + 0.25 * F.exp(-shift * shift / 2) + 0.15 * F.exp(-area_change) + 0.10 * F.exp(-aspect_change)
-    return F.when((shift > 2.5) | (area_change > F.ln(F.lit(4.0))), F.lit(0.0)).otherwise(value * F.pow(F.lit(0.9), gap - 1))
+    """How well a normalised box continues a track after gap frames: overlap, centre, area and aspect, the centre's scale
+    growing with the gap and the whole decaying with it. 0 where the boxes are apart or differ too much in area."""
+    more = F.greatest(gap - 1, F.lit(0))
+    shift, overlap = center_distance(previous, current), iou(previous, current)
+    area_change = F.abs(F.ln(F.greatest(area(current), F.lit(1e-9)) / F.greatest(area(previous), F.lit(1e-9))))
+    aspect_change = F.abs(F.ln(F.greatest(aspect(current), F.lit(1e-9)) / F.greatest(aspect(previous), F.lit(1e-9))))
+    reach = shift / (0.10 + 0.04 * gap)
+    value = AFFINITY["overlap"] * overlap + AFFINITY["centre"] * F.exp(-reach * reach) + AFFINITY["area"] * F.exp(-area_change / 0.50) + AFFINITY["aspect"] * F.exp(-aspect_change / 0.55)
+    apart = (overlap < 0.005) & (shift > 0.16 + 0.06 * more)
+    return F.when(apart | (area_change > 1.35 + 0.15 * more), F.lit(0.0)).otherwise(value * F.exp(-0.12 * more))

@@ -39,10 +39,12 @@ def gate(fails: Column, reviews: Column) -> Column:
     return F.when(F.size(fails) > 0, "FAIL").when(F.size(reviews) > 0, "REVIEW").otherwise("PASS")
 
 
-def consistency(median: Column, p90: Column, accepted: Column, scale: Column) -> Column:
-    """Residuals against a declared scale: 1x and 3x pass, over 2x or over 10x (or nothing measured) is no-go."""
-    bad = median.isNull() | p90.isNull() | (median > 2 * scale) | (p90 > 10 * scale) | ~accepted
-    return F.when(bad, "NO_GO").when((median <= scale) & (p90 <= 3 * scale), "PASS").otherwise("REVIEW")
+def consistency(median: Column, p90: Column, acceptance: Column, scale: Column) -> Column:
+    """Residuals against a declared scale, and the camera's acceptance (PASS, FAIL or anything else): a failed camera,
+    nothing measured, over 2x or over 10x is no-go; an accepted camera within 1x and 3x passes; the rest is reviewed."""
+    bad = (F.coalesce(acceptance, F.lit("")) == "FAIL") | median.isNull() | p90.isNull() | (median > 2 * scale) | (p90 > 10 * scale)
+    good = (F.coalesce(acceptance, F.lit("")) == "PASS") & (median <= scale) & (p90 <= 3 * scale)
+    return F.when(bad, "NO_GO_TRIANGULATION").when(good, "PASS").otherwise("REVIEW_POSE_CAMERA_CONSISTENCY")
 
 
 def confidence_level(value: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from tidemark.functions.boxes import AFFINITY
+
 
 def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
     """Minimum-cost one-to-one assignment of a rectangular matrix: shortest augmenting paths with potentials."""
@@ -53,7 +55,8 @@ def triangulate(projections: np.ndarray, xy: np.ndarray, confidence: np.ndarray,
     p, z, weight = projections[use], xy[use], confidence[use].astype(float)
     base, point = weight.copy(), None
     for _ in range(rounds + 1):
-        rows = np.concatenate([(z[:, :1] * p[:, 2] - p[:, 0]) * weight[:, None], (z[:, 1:] * p[:, 2] - p[:, 1]) * weight[:, None]])
+        root = np.sqrt(np.maximum(weight, 1e-8))[:, None]  # squared residuals are weighted
+        rows = np.concatenate([(z[:, :1] * p[:, 2] - p[:, 0]) * root, (z[:, 1:] * p[:, 2] - p[:, 1]) * root])
         h = np.linalg.svd(rows)[2][-1]
         if abs(h[3]) < 1e-12:
             return None, int(use.sum()), residuals
@@ -74,7 +77,8 @@ def triangulate_many(projections: np.ndarray, xy: np.ndarray, confidence: np.nda
     weight, points, error, ahead = base, None, None, None
     lines = np.concatenate([z[:, :, :1] * projections[:, 2] - projections[:, 0], z[:, :, 1:] * projections[:, 2] - projections[:, 1]], axis=1)
     for _ in range(rounds + 1):
-        h = np.linalg.svd(lines * np.concatenate([weight, weight], axis=1)[:, :, None])[2][:, -1]
+        root = np.where(use, np.sqrt(np.maximum(weight, 1e-8)), 0.0)  # squared residuals are weighted
+        h = np.linalg.svd(lines * np.concatenate([root, root], axis=1)[:, :, None])[2][:, -1]
         with np.errstate(divide="ignore", invalid="ignore"):
             points = h[:, :3] / np.where(np.abs(h[:, 3:]) < 1e-12, np.nan, h[:, 3:])
             q = np.einsum("vij,nj->nvi", projections[:, :, :3], points) + projections[:, :, 3]
@@ -178,24 +182,30 @@ def separated_extrema(values: np.ndarray, count: int, separation: int, ascending
 
 
 def bounded_clips(candidate: np.ndarray, severity: np.ndarray, padding: int, share: float) -> np.ndarray:
-    """Frames selected around candidates by severity, padded on both sides, within a budget of max(1, share of all)."""
+    """Frames selected around candidates by severity (missing ones count as 0, of equal ones the later first), padded on
+    both sides, within a budget of max(1, share of all). Only where nothing is selected yet, a clip beyond the budget is
+    cropped around its centre."""
     n = len(candidate)
     budget, chosen = max(1, int(n * share)), np.zeros(n, bool)
-    seeds = sorted(np.flatnonzero(candidate), key=lambda i: (-severity[i], i))
-    for k, seed in enumerate(seeds):
-        lo, hi = max(0, seed - padding), min(n, seed + padding + 1)
-        room = budget - int(chosen.sum())
-        if room <= 0:
+    weight = np.nan_to_num(np.asarray(severity, float), nan=0.0)
+    for seed in sorted(np.flatnonzero(candidate), key=lambda i: (weight[i], i), reverse=True):
+        held = int(chosen.sum())
+        if held >= budget:
             break
-        if int((~chosen[lo:hi]).sum()) > room:
-            if k:
+        lo, hi = max(0, seed - padding), min(n, seed + padding + 1)
+        if held + int((~chosen[lo:hi]).sum()) > budget:
+            if held:
                 continue
-            lo = max(0, min(seed - (room - 1) // 2, n - room))  # the first may be cropped around its centre
-            hi = lo + room
+            hi = min(n, max(0, seed - budget // 2) + budget)
+            lo = max(0, hi - budget)
         chosen[lo:hi] = True
     return chosen
 
 
+#: The tracker's threshold.
+ASSOCIATION = 0.30
+
+
 def box_affinity(a: np.ndarray, b: np.ndarray, gap: int = 1) -> float:
     """The affinity of functions.boxes, for kernels."""
     size = lambda x: np.maximum([x[2] - x[0], x[3] - x[1]], 1e-6)
@@ -203,15 +213,16 @@ def box_affinity(a: np.ndarray, b: np.ndarray, gap: int = 1) -> float:
     w, h = max(min(a[2], b[2]) - max(a[0], b[0]), 0), max(min(a[3], b[3]) - max(a[1], b[1]), 0)
     raw = lambda x: max(x[2] - x[0], 0) * max(x[3] - x[1], 0)
     union = raw(a) + raw(b) - w * h
-    shift = np.hypot((a[0] + a[2] - b[0] - b[2]) / 2, (a[1] + a[3] - b[1] - b[3]) / 2) / np.sqrt(aw * ah)
-    area, aspect = abs(np.log(bw * bh / (aw * ah))), abs(np.log((bw / bh) / (aw / ah)))
-    if shift > 2.5 or area > np.log(4.0):
+    shift = np.hypot((a[0] + a[2] - b[0] - b[2]) / 2, (a[1] + a[3] - b[1] - b[3]) / 2)
+    area, aspect = abs(np.log(max(bw * bh, 1e-9) / max(aw * ah, 1e-9))), abs(np.log((bw / bh) / (aw / ah)))
+    more, overlap = max(gap - 1, 0), w * h / union if union > 0 else 0.0
+    if overlap < 0.005 and shift > 0.16 + 0.06 * more or area > 1.35 + 0.15 * more:
         return 0.0
-    overlap = w * h / union if union > 0 else 0.0
-    return float((0.5 * overlap + 0.25 * np.exp(-shift * shift / 2) + 0.15 * np.exp(-area) + 0.10 * np.exp(-aspect)) * 0.9 ** (gap - 1))
+    parts = {"overlap": overlap, "centre": np.exp(-((shift / (0.10 + 0.04 * gap)) ** 2)), "area": np.exp(-area / 0.50), "aspect": np.exp(-aspect / 0.55)}
+    return float(np.exp(-0.12 * more) * sum(AFFINITY[k] * v for k, v in parts.items()))
 
 
-def track(frames: list[list[np.ndarray]], most_gap: int = 4, least: float = 0.25, reverse: bool = False) -> list[dict[int, int]]:
+def track(frames: list[list[np.ndarray]], most_gap: int = 4, least: float = ASSOCIATION, reverse: bool = False) -> list[dict[int, int]]:
     """Tracks as frame -> candidate: the best one-to-one assignment by affinity to the live tracks, then births."""
     tracks: list[dict[int, int]] = []
     last: list[tuple[int, np.ndarray]] = []
@@ -233,12 +244,12 @@ def track(frames: list[list[np.ndarray]], most_gap: int = 4, least: float = 0.25
     return tracks
 
 
-def identity_gate(boxes: list[np.ndarray | None], least: float = 0.25) -> list[bool]:
-    """Rejected frames of a selected chain: a box that doesn't continue the one before it is rejected, and a rejection
-    breaks the chain, so the next box is not compared."""
-    out, before = [], None
+def identity_gate(boxes: list[np.ndarray | None], least: float = ASSOCIATION) -> list[bool]:
+    """Rejected frames of a selected chain: a box that doesn't continue the one before it (with 0.05 over the tracker's
+    threshold, 0.38 at least) is rejected, and a rejection breaks the chain, so the next box is not compared."""
+    out, before, limit = [], None, max(least + 0.05, 0.38)
     for b in boxes:
-        bad = b is not None and before is not None and box_affinity(before, b) < least
+        bad = b is not None and before is not None and box_affinity(before, b) < limit
         out.append(bool(bad))
         before = None if bad or b is None else b
     return out

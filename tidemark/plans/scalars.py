@@ -134,7 +134,8 @@ def occlusion_flag(spark: SparkSession, d: str) -> DataFrame:
 
 @query("FN-13", sql=f"""
 WITH {_BOXES.format(on="b.i = a.i + 1")}
-SELECT vec_id, CAST(i AS INTEGER) AS i, round(CASE WHEN dist / sqrt(aa) > 2.5 OR abs(ln(ba / aa)) > ln(4) THEN 0 ELSE (0.5 * iou + 0.25 * exp(-power(dist / sqrt(aa), 2) / 2) + 0.15 * exp(-abs(ln(ba / aa))) + 0.1 * exp(-abs(ln(br / ar)))) * power(0.9, i % 4) END, 6) AS affinity FROM g
+SELECT vec_id, CAST(i AS INTEGER) AS i, round(CASE WHEN iou < 0.005 AND dist > 0.16 + 0.06 * (i % 4) OR abs(ln(greatest(ba, 1e-9) / greatest(aa, 1e-9))) > 1.35 + 0.15 * (i % 4) THEN 0 ELSE exp(-0.12 * (i % 4)) * (0.5 * iou + 0.25 * exp(-power(dist / (0.1 + 0.04 * (i % 4 + 1)), 2))
+  + 0.15 * exp(-abs(ln(greatest(ba, 1e-9) / greatest(aa, 1e-9))) / 0.5) + 0.1 * exp(-abs(ln(greatest(br, 1e-9) / greatest(ar, 1e-9))) / 0.55)) END, 6) AS affinity FROM g
 """)
 def affinity(spark: SparkSession, d: str) -> DataFrame:
     b = _boxes(spark, d)
@@ -190,7 +191,7 @@ def dates(spark: SparkSession, d: str) -> DataFrame:
 
 @query("FN-09", "FN-11", "STM-10", "STM-15", "CN-10", sql="""
 WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, median(l_quantity) AS med, quantile_cont(l_quantity, 0.9) AS p90, count(*) AS n FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3)
-SELECT o_orderkey, CASE WHEN med IS NULL OR p90 IS NULL OR med > 40 OR p90 > 200 OR o_custkey % 9 = 0 THEN 'NO_GO' WHEN med <= 20 AND p90 <= 60 THEN 'PASS' ELSE 'REVIEW' END AS gate,
+SELECT o_orderkey, CASE WHEN med IS NULL OR p90 IS NULL OR med > 40 OR p90 > 200 OR o_custkey % 9 = 0 THEN 'NO_GO_TRIANGULATION' WHEN med <= 20 AND p90 <= 60 AND o_custkey % 9 <> 1 THEN 'PASS' ELSE 'REVIEW_POSE_CAMERA_CONSISTENCY' END AS gate,
   CASE WHEN o_orderstatus = 'F' THEN 'COMPLETE' WHEN n > 6 THEN 'AMBIGUOUS' WHEN n = 6 THEN 'HEALTHY' WHEN n < 3 THEN 'CONFIRMING' WHEN o_custkey % 5 = 0 THEN 'INVALID_COMMAND' WHEN o_custkey % 4 >= 3 THEN 'RESTART_LIMIT' ELSE 'RESTART' END AS action,
   CASE WHEN o_orderstatus = 'P' OR n * 100 >= 300 THEN 'ESCALATE' ELSE 'GRACE' END AS grace, o_orderstatus = 'F' AND n >= 1 AS complete,
   CASE WHEN o_orderstatus = 'F' THEN 'DONE' WHEN med IS NULL THEN 'POSE' WHEN med > 30 THEN 'GEOMETRY' WHEN p90 > 45 THEN 'BODY' ELSE 'QUALITY' END AS stage FROM o
@@ -203,7 +204,7 @@ def decision_tables(spark: SparkSession, d: str) -> DataFrame:
     alive = F.when(n > 6, 2).when(n == 6, 1).otherwise(0)
     action = status.recovery_action(alive, s == "F", n, 3, F.col("o_custkey") % 5 != 0, F.col("o_custkey") % 4, 3)
     stage = F.when(s == "F", "DONE").when(med.isNull(), "POSE").when(med > 30, "GEOMETRY").when(p90 > 45, "BODY").otherwise("QUALITY")
-    return o.select("o_orderkey", status.consistency(med, p90, F.col("o_custkey") % 9 != 0, F.lit(20.0)).alias("gate"), action.alias("action"), F.when((s == "P") | (n * 100 >= 300), "ESCALATE").otherwise("GRACE").alias("grace"), ((s == "F") & (n >= 1)).alias("complete"), stage.alias("stage"))
+    return o.select("o_orderkey", status.consistency(med, p90, F.when(F.col("o_custkey") % 9 == 0, "FAIL").when(F.col("o_custkey") % 9 == 1, "REVIEW").otherwise("PASS"), F.lit(20.0)).alias("gate"), action.alias("action"), F.when((s == "P") | (n * 100 >= 300), "ESCALATE").otherwise("GRACE").alias("grace"), ((s == "F") & (n >= 1)).alias("complete"), stage.alias("stage"))
 
 
 @query("FN-10", sql="""
