@@ -635,3 +635,20 @@ def test_density_chooses_beside_articles_of_others():
     assert html_extract.extract(f"<body>{text}<div class=comments><ol><li><article><p>{'Nothing of this is true. ' * 90}</p></article></li></ol></div></body>") == want
     assert html_extract.extract(f"<body>{text}{teasers}</body>") == want
     assert html_extract.extract(f"<body><div class=has-sidebar><article class='post tag-comment'>{text}{comments}</article></div>{teasers}</body>") == want
+
+
+def test_broken_markup_loses_no_text():
+    assert html_extract.extract("<p>x <![CDATA[hello world") == "x hello world"
+    assert html_extract.extract("<p>x <![CDATA[a &amp; b]]> y</p>") == "x a &amp; b y"
+    assert html_extract.extract("<p>a &am<b>p;</b> b &lt; c</p>") == "a &amp; b < c"
+    assert html_extract.extract("<p>one <a href=\"x>two</a> three</p><p>four</p>") == "one two three\nfour"
+    assert html_extract.extract("<p>one < two <a <b") == "one < two <a <b"
+
+
+@pytest.mark.parametrize("page", ["<a " * 300_000, '<a ">' * 100_000, "<b>" * 50_000 + "</i>" * 50_000, "<b>" * 30_000 + "<li>x" * 3_000, "<" * 300_000, "<p>" + "x" * 1_000_000])
+def test_long_broken_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    html_extract.extract(page)
+    assert time.process_time() - start < 30

@@ -16,12 +16,16 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</([A-Za-z][^\s/>]*)[^>]*>|<([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^\"'>])*+)>", re.DOTALL)
+#: The same without regard to quotes, for what follows a tag whose quote is never closed.
+_PLAIN_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</([A-Za-z][^\s/>]*)[^>]*>|<([A-Za-z][^\s/>]*)([^>]*)>", re.DOTALL)
+_OPENING = re.compile(r"<(?=[!?/A-Za-z])")
 _ATTRIBUTE = re.compile(r"([A-Za-z_:][^\s=/>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
@@ -85,47 +89,65 @@ def _cut(tag: str, attributes: str) -> int:
 
 
 def parse(source: str) -> Tree:
+    """The tree of a page. Every character is looked at a bounded number of times: where a tag's quote is never closed,
+    quotes are disregarded from there on, and what is behind the last ">" is text."""
     tree, stack, at = Tree(), [0], 0
-    tags = tree.tag
+    tags, opened, tag = tree.tag, Counter(), _TAG
 
-    def text(value: str):
-        if value:
-            tree.items[stack[-1]].append(value)
+    def text(value: str, literal: bool = False):
+        if value:  # references are decoded where they stand; one doesn't reach over a tag
+            tree.items[stack[-1]].append(value if literal else html_lib.unescape(value))
+
+    def close(k: int):
+        for i in stack[k:]:
+            opened[tags[i]] -= 1
+        del stack[k:]
 
+    last = source.rfind(">")
+    begin = 0
     while True:
-        m = _TAG.search(source, at)
-        if m is None:
-            text(source[at:])
+        start = _OPENING.search(source, at)
+        unclosed = start is None or start.start() > last and not source.startswith(("<!--", "<![CDATA["), start.start())
+        if unclosed:
+            text(source[begin:])
             return tree
-        text(source[at : m.start()])
-        at = m.end()
+        m = tag.match(source, start.start())
+        if m is None and tag is _TAG:
+            tag = _PLAIN_TAG
+            m = tag.match(source, start.start())
+        if m is None:
+            at = start.end()
+            continue
+        text(source[begin : m.start()])
+        begin = at = m.end()
         if m[1]:
             name = m[1].lower()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[name] else ():
                 if tags[stack[k]] == name:
-                    del stack[k:]
+                    close(k)
                     break
                 if name not in BLOCK and tags[stack[k]] in BLOCK:
                     break  # an inline end doesn't close blocks
         elif m[2]:
             name, attributes = m[2].lower(), m[3]
             closes = SAME.get(name, ()) + (("p",) if name in CLOSES_P else ())
-            if closes:
+            if any(opened[x] for x in closes):
                 stop = SCOPE.get(name, ()) if name in SAME else SCOPE["p"]
                 for k in range(len(stack) - 1, 0, -1):
                     if tags[stack[k]] in closes:
-                        del stack[k:]
+                        close(k)
                         break
                     if tags[stack[k]] in stop:
                         break
             node = tree.add(name, stack[-1], _cut(name, attributes))
             if name in RAW:
                 end = re.compile(f"</{name}(?=[\\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else len(source)
+                begin = at = end.end() if end else len(source)
             elif name not in VOID and not (attributes.endswith("/") and name not in BLOCK and name not in ("a", "b", "i", "span", "em", "strong")):
                 stack.append(node)
+                opened[name] += 1
         elif source.startswith("<![CDATA[", m.start()):
-            text(source[m.start() + 9 : m.end() - 3])
+            text(m[0][9:].removesuffix("]]>"), literal=True)
 
 
 def _keep_around_article(tree: Tree) -> None:
@@ -221,7 +243,7 @@ def blocks(tree: Tree, roots: list[int]) -> list[str]:
     held: list[str] = []
 
     def close():
-        value = " ".join(html_lib.unescape("".join(held)).split())
+        value = " ".join("".join(held).split())
         held.clear()
         if value:
             out.append(value)
