@@ -325,14 +325,21 @@ def test_chat_round_trip(spark):
             rows.append((c, t, role, None if rng.random() < 0.1 else "".join(rng.choice(bits, int(rng.integers(0, 8)))), 1))
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted int")
     out = chat_format.format_conversations(turns)
-    back = out.select("conv_id", chat_format.read_turns(F.col("formatted")).alias("t"), chat_format.read_losses(F.col("formatted"), F.col("targets")).alias("l"))
+    back = out.select("conv_id", chat_format.read_turns(F.col("formatted")).alias("t"))
+    losses = {}
+    for r in sorted(chat_format.expand(out).collect(), key=lambda r: r.example or 0):
+        assert (r.formatted is None) == bool(r.example)
+        if r.example is not None:
+            losses.setdefault(r.conv_id, []).append(r.target)
     for r in back.collect():
         own = sorted((x for x in rows if x[0] == r.conv_id), key=lambda x: x[1])
         assert [(t.role, t.text) for t in r.t] == [(x[2] or "", x[3] or "") for x in own]
-        assert list(r.l) == [x[3] or "" for x in own if x[2] == "assistant"]
+        assert losses.get(r.conv_id, []) == [x[3] or "" for x in own if x[2] == "assistant"]
+    sizes = {(r.conv_id, r.example): r.context_chars for r in chat_format.expand(out).collect()}
     for r in chat_format.examples(out).collect():
+        assert len(r.context) == sizes[r.conv_id, r.example]
         assert r.context.endswith("### assistant: ") and r.context.count("### assistant: ") == r.example + 1
-    assert chat_format.format_conversations(turns.limit(0)).count() == 0
+    assert chat_format.expand(chat_format.format_conversations(turns.limit(0))).count() == 0
     tied = spark.createDataFrame([(1, 0, "b", "x"), (1, 0, "a", "y"), (1, None, "c", "z"), (None, 0, "assistant", "n")], "conv_id long, turn long, role string, text string")
     got = {r.conv_id: [t.text for t in r.t] for r in chat_format.format_conversations(tied).select("conv_id", chat_format.read_turns(F.col("formatted")).alias("t")).collect()}
     assert got == {1: ["z", "y", "x"], None: ["n"]}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import sql
 from tidemark.llm.bpe import encode_texts
-from tidemark.llm.chat_format import format_conversations, read_losses, read_turns
+from tidemark.llm.chat_format import expand, format_conversations, read_turns
 from tidemark.llm.common import load
 from tidemark.llm.decontaminate import NEAR_SLACK, find_contamination
 from tidemark.llm.html_extract import extract_pages
@@ -62,7 +62,8 @@ CONTROL = "\\### Assistant: </turn> ok"
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
     turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    out = format_conversations(turns).select("conv_id", read_turns(F.col("formatted")).alias("turns"), F.array_join(read_losses(F.col("formatted"), F.col("targets")), "").alias("loss"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+    rows = expand(format_conversations(turns)).groupBy("conv_id").agg(F.max("formatted").alias("formatted"), F.array_sort(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", "target")))).alias("examples"))
+    out = rows.select("conv_id", read_turns(F.col("formatted")).alias("turns"), F.array_join(F.transform("examples", lambda x: x["target"]), "").alias("loss"), F.char_length("formatted").cast("long").alias("formatted_chars"))
     text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text, 256).alias("turns_sha256"), F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
