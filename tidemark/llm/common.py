@@ -20,11 +20,14 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a folder of our own if driver
+    and executors are one process; a cluster has to name one."""
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and the executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="tidemark-")
     return _own_dir

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, fresh
 
 #: Bytes of text in a shard (a longer document is a shard of its own), and of test items in a block.
 SHARD_BYTES = 2_000_000
@@ -294,9 +294,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, s
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack: int = NEAR_SLACK) -> DataFrame:
     """The rows of docs without a hit word and without a proximity match (slack < 0: without a hit word), all columns.
 
-    Rows are told apart by id and a hash of the text: a repeated id takes nothing else with it.
+    Rows are told apart by id and a hash of the text: a repeated id takes nothing else with it. All columns stay, whatever
+    their names.
     """
     key = F.concat_ws(":", F.col("doc_id").cast("string"), F.hex(F.xxhash64(F.col("text").cast("string"))))
     found = find_contamination(docs.select(key.alias("doc_id"), "text"), benchmark, width, slack)
-    dirty = cut(found.where("n_hit > 0 or size(near) > 0").select(F.col("doc_id").alias("__key")).distinct(), "dirty")
-    return docs.join(dirty.hint("shuffle_hash"), key == F.col("__key"), "left_anti")
+    own = fresh(docs, "key")
+    dirty = cut(found.where("n_hit > 0 or size(near) > 0").select(F.col("doc_id").alias(own)).distinct(), "dirty")
+    return docs.join(dirty.hint("shuffle_hash"), key == F.col(own), "left_anti")
