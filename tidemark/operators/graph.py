@@ -12,9 +12,12 @@ _own: list[str] = []
 
 
 def shared_folder(spark) -> str:
+    """spark.checkpoint.dir; a folder of our own only where driver and executors are one process."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and the executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="tidemark-"))
     return _own[0]
