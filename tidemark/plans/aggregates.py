@@ -162,30 +162,43 @@ def cv_ratio(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("AG-17", "FN-27", sql="""
-WITH e AS (SELECT event_type AS seq, user_id AS track, epoch_us(ts) // 86400000000 AS f, value AS area, CAST(epoch_us(ts) % 1000 AS DOUBLE) / 1000 AS score FROM events),
-span AS (SELECT seq, max(f) - min(f) + 1 AS n, min(f) AS a, max(f) AS b FROM e GROUP BY 1), big AS (SELECT seq, f, max(area) AS m FROM e GROUP BY 1, 2),
-g AS (SELECT e.seq, e.track, any_value(n) AS n, any_value(a) AS a, any_value(b) AS b, count(DISTINCT e.f) AS k, min(e.f) AS lo, max(e.f) AS hi, median(area / m) AS rel, median(score) AS sc, 1 - abs(avg(score) - 0.5) * 2 AS loc FROM e JOIN span USING (seq) JOIN big ON big.seq = e.seq AND big.f = e.f GROUP BY 1, 2),
-c AS (SELECT seq, track, 0.30 * k / n + 0.10 * (hi - lo + 1) / n + 0.16 * (1 - (lo - a) / n) + 0.04 * (1 - (b - hi) / n) + 0.16 * k / (hi - lo + 1) + 0.12 * rel + 0.07 * sc + 0.05 * loc AS q, k / n AS cover, sc FROM g),
+WITH e AS (SELECT event_type AS seq, user_id AS track, epoch_us(ts) // 86400000000 AS f, max(value) AS area, max(CAST(epoch_us(ts) % 1000 AS DOUBLE) / 1000) AS score FROM events GROUP BY 1, 2, 3),
+w AS (SELECT *, lag(f) OVER t AS pf, lag(area) OVER t AS pa FROM e WINDOW t AS (PARTITION BY seq, track ORDER BY f)),
+o AS (SELECT *, CASE WHEN pf IS NULL THEN 1.0 ELSE exp(-0.12 * (f - pf - 1)) * exp(-abs(ln(greatest(area, 1e-9) / greatest(pa, 1e-9))) / 0.5) END AS aff FROM w),
+span AS (SELECT seq, max(f) - min(f) + 1 AS n, min(f) AS a, greatest(12, least(90, round_even((max(f) - min(f) + 1) * 0.1, 0))) AS win FROM e GROUP BY 1), big AS (SELECT seq, f, max(area) AS m FROM e GROUP BY 1, 2),
+g AS (SELECT o.seq, o.track, any_value(n) AS n, count(*) AS k, min(o.f) AS lo, max(o.f) AS hi, least(count(*) FILTER (WHERE o.f - a < win) / any_value(win), 1) AS ini, least(count(*) FILTER (WHERE o.f - a >= greatest(0, n - win)) / any_value(win), 1) AS ter,
+  coalesce(median(aff) FILTER (WHERE aff < 1), 0) AS con, median(area / nullif(m, 0)) AS rel, median(score) AS sc, median(exp(-abs(score - 0.5) / 0.45)) AS loc, arg_max(aff, o.f) AS local, arg_max(score, o.f) AS own FROM o JOIN span USING (seq) JOIN big ON big.seq = o.seq AND big.f = o.f GROUP BY 1, 2),
+c AS (SELECT *, 0.30 * k / n + 0.10 * (hi - lo + 1) / n + 0.16 * ini + 0.04 * ter + 0.16 * con + 0.12 * rel + 0.07 * sc + 0.05 * loc AS q, k / n AS cover FROM g),
 r AS (SELECT *, row_number() OVER (PARTITION BY seq ORDER BY round(q, 9) DESC, track) AS place, round(q, 9) - lead(round(q, 9)) OVER (PARTITION BY seq ORDER BY round(q, 9) DESC, track) AS margin FROM c)
 SELECT seq, track, CAST(place AS INTEGER) AS place, round(q, 6) AS quality, round(margin, 6) AS margin, CASE WHEN margin < 0.02 THEN 'AMBIGUOUS' ELSE 'TARGET' END AS status,
-  round(least(CASE WHEN margin < 0.02 THEN 0.44 ELSE 1 END, 0.45 * least(margin / 0.2, 1) + 0.30 * cover + 0.15 * sc + 0.10 * cover), 6) AS confidence FROM r WHERE place = 1
+  round(least(CASE WHEN margin < 0.02 THEN 0.44 ELSE 1 END, 0.45 * least(margin / 0.2, 1) + 0.30 * local + 0.15 * own + 0.10 * cover), 6) AS confidence FROM r WHERE place = 1
 """)
 def track_score(spark: SparkSession, d: str) -> DataFrame:
-    """Eight weighted components of each track (user) of a sequence (event type) over days as frames; the best track,
-    its margin and the selector's confidence, capped where it is ambiguous."""
+    """Eight weighted components of each track (user) of a sequence (event type), one observation a day as a frame:
+    coverage, span, coverage of the initial and the terminal window (a tenth of the frames, 12 to 90), continuity (median
+    affinity of all but births), area beside the frame's largest, score and location. The best track, its margin and the
+    selector's confidence at its last frame (margin, local affinity, score, coverage), capped where it is ambiguous."""
     from tidemark.operators.sequences import rank_margin
 
     e = _events(spark, d).select(F.col("event_type").alias("seq"), F.col("user_id").alias("track"), F.expr("us div 86400000000").alias("f"), F.col("value").alias("area"), (F.expr("us % 1000") / 1000).alias("score"))
-    span = e.groupBy("seq").agg((F.max("f") - F.min("f") + 1).alias("n"), F.min("f").alias("a"), F.max("f").alias("b"))
+    e = e.groupBy("seq", "track", "f").agg(F.max("area").alias("area"), F.max("score").alias("score"))
+    order = W.partitionBy("seq", "track").orderBy("f")
+    gap, change = F.col("f") - F.lag("f").over(order) - 1, F.abs(F.ln(F.greatest("area", F.lit(1e-9)) / F.greatest(F.lag("area").over(order), F.lit(1e-9))))
+    o = e.withColumn("aff", F.when(F.lag("f").over(order).isNull(), 1.0).otherwise(F.exp(-0.12 * gap) * F.exp(-change / 0.5)))
+    n = F.max("f") - F.min("f") + 1
+    span = e.groupBy("seq").agg(n.alias("n"), F.min("f").alias("a"), F.greatest(F.lit(12), F.least(F.lit(90), F.bround(n * F.lit(0.1), 0))).alias("win"))
     big = e.groupBy("seq", "f").agg(F.max("area").alias("m"))
-    g = e.join(big, ["seq", "f"]).groupBy("seq", "track").agg(
-        F.count_distinct("f").alias("k"), F.min("f").alias("lo"), F.max("f").alias("hi"), F.percentile(F.try_divide("area", "m"), 0.5).alias("rel"), F.percentile("score", 0.5).alias("sc"), (1 - F.abs(F.avg("score") - 0.5) * 2).alias("loc"),
+    share = lambda c: F.least(F.count(F.when(c, 1)) / F.first("win"), F.lit(1.0))
+    g = o.join(big, ["seq", "f"]).join(span, "seq").groupBy("seq", "track").agg(
+        F.first("n").alias("n"), F.count("*").alias("k"), F.min("f").alias("lo"), F.max("f").alias("hi"), share(F.col("f") - F.col("a") < F.col("win")).alias("ini"), share(F.col("f") - F.col("a") >= F.greatest(F.lit(0), F.col("n") - F.col("win"))).alias("ter"),
+        F.coalesce(F.percentile(F.when(F.col("aff") < 1, F.col("aff")), 0.5), F.lit(0.0)).alias("con"), F.percentile(F.try_divide("area", "m"), 0.5).alias("rel"), F.percentile("score", 0.5).alias("sc"),
+        F.percentile(F.exp(-F.abs(F.col("score") - 0.5) / 0.45), 0.5).alias("loc"), F.max_by("aff", "f").alias("local"), F.max_by("score", "f").alias("own"),
     )
-    q = F.expr("0.30D * k / n + 0.10D * (hi - lo + 1) / n + 0.16D * (1 - (lo - a) / n) + 0.04D * (1 - (b - hi) / n) + 0.16D * k / (hi - lo + 1) + 0.12D * rel + 0.07D * sc + 0.05D * loc")
-    c = g.join(span, "seq").select("seq", "track", F.round(q, 9).alias("q"), (F.col("k") / F.col("n")).alias("cover"), "sc")
+    q = F.expr("0.30D * k / n + 0.10D * (hi - lo + 1) / n + 0.16D * ini + 0.04D * ter + 0.16D * con + 0.12D * rel + 0.07D * sc + 0.05D * loc")
+    c = g.select("seq", "track", F.round(q, 9).alias("q"), (F.col("k") / F.col("n")).alias("cover"), "local", "own")
     best = rank_margin(c, ["seq"], "q", "track", 1)
     close = F.coalesce(F.col("margin") < 0.02, F.lit(False))
-    conf = F.least(F.when(close, 0.44).otherwise(1.0), 0.45 * F.least(F.col("margin") / 0.2, F.lit(1.0)) + 0.30 * F.col("cover") + 0.15 * F.col("sc") + 0.10 * F.col("cover"))
+    conf = F.least(F.when(close, 0.44).otherwise(1.0), 0.45 * F.least(F.col("margin") / 0.2, F.lit(1.0)) + 0.30 * F.col("local") + 0.15 * F.col("own") + 0.10 * F.col("cover"))
     return best.select("seq", "track", F.col("rank").alias("place"), F.round("q", 6).alias("quality"), F.round("margin", 6).alias("margin"), F.when(close, "AMBIGUOUS").otherwise("TARGET").alias("status"), F.round(conf, 6).alias("confidence"))
 
 
