@@ -262,6 +262,8 @@ def test_lexing_and_constants():
     assert found('title = "k9Xw-77aZ"\n') == set()
     assert found('password = "changeme"\npassword = "two words here"\n') == set()
     assert found("token count: 5 and the key = value") == set()
+    assert found('x = "k9Xw-77aZ"\nx = other()\npassphrase = x\n') == set()
+    assert found('x = "k9Xw-77aZ"\nif x == other:\n    passphrase = x\n') == {"k9Xw-77aZ"}
     assert secret_scan.name_score("dbPassword") == 1.0 and secret_scan.name_score("monkey") == 0
 
 
@@ -282,6 +284,15 @@ def test_lexing_of_configuration_types_and_subscripts():
         assert found(text) == set(), text
 
 
+def test_long_lines_take_linear_time():
+    import time
+
+    for line in ("token " + "a'b\\ " * 200_000, "token=" + "a=b," * 200_000, "token x=" + "a+" * 200_000, "token " + "a[" * 200_000, 'token="' + "é" * 500_000, "token=1\n" + "a=\n" * 100_000):
+        start = time.process_time()
+        secret_scan.scan(line)
+        assert time.process_time() - start < 30
+
+
 def test_secret_edges(spark, odd):
     assert secret_scan.find_secrets(odd).where("size(spans) = 0").count() == odd.count()
     d = spark.createDataFrame([(1, "é token = 'abcdef0123456789abcdef0123' end", 5)], DOCS + ", n int")

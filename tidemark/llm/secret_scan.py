@@ -165,6 +165,8 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
                     out.append((name, found))
                     i = j
                     continue
+                if tokens[at][1] in ("=", ":="):
+                    known.pop(name, None)  # it stands for something else from here on
             i += 1
     return out
 
