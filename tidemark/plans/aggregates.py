@@ -127,7 +127,7 @@ def dataset_rollup(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "scope")
 
 
-@query("AG-10", "AG-12", "AG-30", "AG-33", "AG-39", sql="""
+@query("AG-10", "AG-12", sql="""
 SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 50) AS above, bool_and(value > 0) AS all_positive, bool_or(value > 400) AS any_large, round(avg(CASE WHEN value > 50 THEN 1.0 ELSE 0 END), 6) AS fraction,
   round(avg(value), 5) AS mean, round(quantile_cont(value, 0.9), 5) AS p90, round(quantile_cont(value, 0.95), 5) AS p95, round(max(value), 5) AS most, count(DISTINCT user_id) AS subjects FROM events GROUP BY 1
 """)

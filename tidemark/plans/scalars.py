@@ -15,7 +15,7 @@ def _events(spark, d) -> DataFrame:
     return load(spark, d, "events")
 
 
-@query("PF-01", "PF-02", "FN-07", "FN-08", "SRC-02", sql=r"""
+@query("PF-01", "PF-02", "FN-07", "FN-08", sql=r"""
 WITH k AS (SELECT event_id, value, TRY_CAST(props::JSON ->> '$.k' AS DOUBLE) AS k, CASE event_id % 5 WHEN 0 THEN 'N/A' WHEN 1 THEN (event_id % 97) || '/' || (event_id % 7) WHEN 2 THEN ' ' || event_id || ' ' WHEN 3 THEN '' ELSE 'inf' END AS raw FROM events),
 v AS (SELECT *, CASE event_id % 5 WHEN 1 THEN CASE WHEN event_id % 7 = 0 THEN NULL ELSE (event_id % 97) / (event_id % 7) END WHEN 2 THEN CAST(event_id AS DOUBLE) END AS num FROM k)
 SELECT event_id, CAST(k AS BIGINT) AS k, round(num, 9) AS num, round_even(num, 1) AS rounded, CASE WHEN k >= 75 THEN 'HIGH' WHEN k >= 45 THEN 'MEDIUM' ELSE 'LOW' END AS band,
