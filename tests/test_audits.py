@@ -84,3 +84,16 @@ def test_telemetry_passes_over_missing_readings(spark):
     got = {r.phase: r for r in audits.telemetry(df, ["phase"], ["load"]).collect()}
     assert (got["p"].sample_count, got["p"].load_mean, got["p"].load_max) == (3, 2.0, 3.0) and got["p"].load_p90 == pytest.approx(2.8)
     assert got["q"].sample_count == 1 and got["q"].load_mean is None and got["q"].load_p95 is None
+
+
+def test_stages_against_their_frames(spark):
+    nan = math.nan
+    base = spark.createDataFrame([("a", 0, 0.0), ("a", 1, 0.5), ("b", 0, None), ("c", 0, 0.0)], "seq string, frame long, pts double")
+    schema = "seq string, frame long, pts double, value double, valid boolean, accepted boolean, target_valid boolean"
+    good = spark.createDataFrame([("a", 0, 0.0, 1.0, True, True, True), ("a", 1, 0.5, nan, False, False, None), ("b", 0, None, None, None, None, None), ("c", 0, 0.0, 1.0, True, False, False)], schema)
+    bad = spark.createDataFrame([("a", 0, 0.0, nan, True, True, None), ("a", 2, 0.5, 1.0, False, False, True), ("b", 0, 1.0, None, False, None, None), ("z", 0, 0.0, 1.0, True, True, True)], schema)
+    got = {r.seq: (r.reasons, r.status) for r in audits.stage_faults(["seq"], base, {"one": good, "two": bad}).collect()}
+    # a: as many frames, but other ones
+    assert got == {"a": ("two:finite,two:forced,two:frame_index", "FAIL"), "b": ("two:pts", "FAIL"), "c": ("two:missing", "FAIL")}
+    none = audits.stage_faults(["seq"], base.limit(0), {"one": good})
+    assert none.count() == 0

@@ -113,3 +113,32 @@ def output_totals(documents: DataFrame, stage: str) -> DataFrame:
     ours = documents.where((F.col("stage") == stage) & F.col("status").isin("PASS", "REVIEW", "FAIL") & F.col("sequence").isNotNull() & F.col("frame_count").isNotNull())
     n = lambda s: F.count_if(F.col("status") == s)
     return ours.agg(F.count("*").alias("sequences"), F.coalesce(F.sum("frame_count"), F.lit(0)).cast("long").alias("frames"), n("PASS").alias("passed"), n("REVIEW").alias("review"), n("FAIL").alias("failed"), F.when(n("FAIL") > 0, "FAIL").otherwise("PASS").alias("status"))
+
+
+def stage_faults(keys: list[str], base: DataFrame, stages: dict[str, DataFrame]) -> DataFrame:
+    """keys, reasons (sorted and joined by commas), status: every stage's frames against the base's.
+
+    base: keys, frame, pts. A stage: keys, frame, pts, value, valid, accepted, target_valid. For each stage the reasons are
+    <stage>:frame_count, :frame_index (a frame that one side lacks), :pts (other than the base's, null and NaN aside),
+    :finite (a valid value that isn't finite, or an invalid one that isn't NaN or null) and :forced (accepted where the
+    target isn't valid; null counts as false). A stage without rows for a sequence has :missing alone. Rows are expected
+    once for each frame; sequences that only a stage has aren't reported.
+    """
+    out = base.select(*keys).distinct()
+    names = []
+    for stage, df in stages.items():
+        a = base.select(*keys, "frame", F.col("pts").alias("__base_pts"), F.lit(1).alias("__base"))
+        b = df.select(*keys, "frame", *[F.col(c).alias(f"__{c}") for c in ("pts", "value", "valid", "accepted", "target_valid")], F.lit(1).alias("__stage"))
+        both = F.col("__base").isNotNull() & F.col("__stage").isNotNull()
+        yes = lambda c: F.coalesce(F.col(c), F.lit(False))
+        there = F.col("__stage").isNotNull()
+        empty = F.col("__value").isNull() | F.isnan("__value")
+        g = a.join(b, [*keys, "frame"], "full").groupBy(*keys).agg(
+            (F.count("__stage") == 0).alias("missing"), (F.count("__base") != F.count("__stage")).alias("frame_count"), F.bool_or(~both).alias("frame_index"), F.bool_or(both & ~F.col("__pts").eqNullSafe(F.col("__base_pts"))).alias("pts"),
+            F.bool_or(there & F.when(yes("__valid"), ~_finite(F.col("__value"))).otherwise(~empty)).alias("finite"), F.bool_or(there & yes("__accepted") & ~yes("__target_valid")).alias("forced"),
+        )
+        tests = [F.when(F.col("missing"), F.lit(f"{stage}:missing")), *[F.when(~F.col("missing") & F.col(c), F.lit(f"{stage}:{c}")) for c in ("frame_count", "frame_index", "pts", "finite", "forced")]]
+        out = out.join(g.select(*keys, F.array_compact(F.array(*tests)).alias(f"__of_{stage}")), keys, "left")
+        names.append(F.col(f"__of_{stage}"))
+    reasons = F.array_join(F.array_sort(F.concat(*names)), ",")
+    return out.select(*keys, reasons.alias("reasons"), F.when(reasons == "", "PASS").otherwise("FAIL").alias("status"))

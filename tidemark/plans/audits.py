@@ -125,3 +125,26 @@ def output_totals(spark: SparkSession, d: str) -> DataFrame:
         text.where(f"doc_id % 2 = {part}").select("value").write.mode("append").text(path)
     back = spark.read.schema("stage string, sequence long, status string, frame_count long").option("mode", "PERMISSIVE").json(path)
     return audits.output_totals(back, "quality")
+
+
+def _stage_sql(name: str, gone: int, off: int, bad: int, forced: int) -> str:
+    return f"""{name} AS (SELECT s, list_filter([CASE WHEN count(q) = 0 THEN '{name}:missing' END, CASE WHEN count(q) BETWEEN 1 AND count(*) - 1 THEN '{name}:frame_count' END, CASE WHEN count(q) BETWEEN 1 AND count(*) - 1 THEN '{name}:frame_index' END,
+  CASE WHEN bool_or(q % {off} = 0) THEN '{name}:pts' END, CASE WHEN bool_or(q % {bad} = 0) THEN '{name}:finite' END, CASE WHEN bool_or(q % {forced} = 0 AND q % 3 = 0) THEN '{name}:forced' END], lambda x: x IS NOT NULL) AS r
+  FROM (SELECT o_custkey AS s, CASE WHEN o_orderkey % {gone} <> 0 AND o_custkey % {gone} <> 0 THEN o_orderkey END AS q FROM orders) GROUP BY s)"""
+
+
+@query("CN-02", sql=f"""
+WITH {_stage_sql("pose", 61, 53, 47, 43)}, {_stage_sql("prior", 67, 71, 73, 59)}
+SELECT pose.s, array_to_string(list_sort(list_concat(pose.r, prior.r)), ',') AS reasons, CASE WHEN len(pose.r) + len(prior.r) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM pose JOIN prior ON prior.s = pose.s
+""")
+def stage_consistency(spark: SparkSession, d: str) -> DataFrame:
+    """Two stages' frames, times, values and acceptance against the frames that they were made from."""
+    base = load(spark, d, "orders").select(F.col("o_custkey").alias("s"), F.col("o_orderkey").alias("frame"), F.expr("o_orderkey / 30D").alias("pts"), F.col("o_totalprice").alias("v"))
+
+    def stage(gone: int, off: int, bad: int, forced: int) -> DataFrame:
+        left = base.where(f"frame % {gone} <> 0 and s % {gone} <> 0")
+        # every second frame is invalid: its value has to be NaN, but where it is bad
+        value = f"case when frame % 2 = 0 then if(frame % {bad} = 0, double('inf'), v) else if(frame % {bad} = 0, v, double('nan')) end"
+        return left.select("s", "frame", F.expr(f"if(frame % {off} = 0, pts + 1, pts)").alias("pts"), F.expr(value).alias("value"), F.expr("frame % 2 = 0").alias("valid"), F.expr(f"frame % {forced} = 0").alias("accepted"), F.expr("frame % 3 <> 0").alias("target_valid"))
+
+    return audits.stage_faults(["s"], base.select("s", "frame", "pts"), {"pose": stage(61, 53, 47, 43), "prior": stage(67, 71, 73, 59)})

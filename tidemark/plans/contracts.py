@@ -19,7 +19,7 @@ def _events(spark, d) -> DataFrame:
     return load(spark, d, "events").select("event_id", "user_id", "event_type", "value", micros("ts").alias("us"))
 
 
-@query("CN-02", "CN-04", "CN-05", "CN-11", sql="""
+@query("CN-04", "CN-05", "CN-11", sql="""
 WITH l AS (SELECT l_orderkey AS k, count(*) AS n, max(l_linenumber) AS last, min(l_linenumber) AS first, sum(l_extendedprice) AS total, bool_and(l_shipdate >= DATE '1992-01-01') AS dated FROM lineitem GROUP BY 1),
 m AS (SELECT k, bool_and(ok) AS rising FROM (SELECT l_orderkey AS k, coalesce(l_shipdate >= lag(l_shipdate) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_shipdate), true) AS ok FROM lineitem) GROUP BY 1),
 c AS (SELECT o_orderkey, coalesce(n, 0) AS n, list_sort(list_filter([CASE WHEN NOT coalesce(first = 1, false) THEN 'starts_at_one' END, CASE WHEN NOT coalesce(last = n, false) THEN 'contiguous' END, CASE WHEN NOT coalesce(dated, false) THEN 'dates' END,
