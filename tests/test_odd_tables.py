@@ -20,3 +20,20 @@ def test_best_verified_with_large_order_keys(spark, tmp_path):
     orders = """SELECT * FROM (VALUES (1, 9000000, 'F', 10.0), (1, 5, 'F', 18.0), (1, 6, 'O', 18.4), (1, 7000000, 'O', 12.0),
       (2, 1000001, 'F', 3.0), (2, 1, 'F', 4.0), (3, 4, 'O', 1.0), (3, 5, 'F', NULL), (NULL, 6, 'O', 2.0), (NULL, 7, 'F', 2.0), (4, 8, NULL, 2.0)) t(o_custkey, o_orderkey, o_orderstatus, o_totalprice)"""
     check(spark, tmp_path, "best_verified", orders=f"SELECT o_custkey::BIGINT AS o_custkey, o_orderkey::BIGINT AS o_orderkey, o_orderstatus, o_totalprice::DOUBLE AS o_totalprice FROM ({orders})")
+
+
+def test_gather_by_index_settles_ties_by_the_file(spark, tmp_path):
+    """Lines of one number are in the order of the file, whatever order they are read and shuffled in; an index can be
+    negative, a number or a key null."""
+    lines = "SELECT (i * 7919 % 5000)::BIGINT AS l_orderkey, (i * 31 % 100000)::BIGINT AS l_partkey, 1 + (i % 2)::INTEGER AS l_linenumber FROM range(60000) t(i)"
+    odd = "SELECT * FROM (VALUES (-2::BIGINT, 5::BIGINT, 2::INTEGER), (-2, 6, NULL), (-2, 7, 1), (-1, 8, 1), (7, NULL, 0), (NULL, 9, 1)) t"
+    con = duckdb.connect()
+    con.sql(f"COPY ({lines} UNION ALL {odd}) TO '{tmp_path}/lineitem.parquet' (ROW_GROUP_SIZE 4096)")
+    read = f"(SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet', file_row_number = true))"
+    sql = ORACLE_SQL["gather_by_index"].replace("ORDER BY l_linenumber", "ORDER BY l_linenumber, file_row_number").replace("FROM lineitem", f"FROM {read}")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    try:
+        assert_equal(spark, con, str(tmp_path), QUERIES["gather_by_index"], sql)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
