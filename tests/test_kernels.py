@@ -206,3 +206,11 @@ def test_derivatives():
         np.testing.assert_allclose((turned - e)[0] / 1e-6, by_pose[0, :, i], atol=0.05)
         np.testing.assert_allclose((shifted - e)[0] / 1e-6, by_pose[0, :, 3 + i], atol=0.05)
         np.testing.assert_allclose((moved - e)[0] / 1e-6, by_point[0, :, i], atol=0.05)
+
+
+@pytest.mark.parametrize("n, most", [(0, 1), (1, 1), (2, 1), (37, 3), (64, 5), (200, 4), (333, 1000)])
+def test_dominating_items_are_counted_without_pairs(n, most):
+    rng = np.random.default_rng(n)
+    order, x, y = rng.integers(0, max(n // 2, 1) if most < 10 else 10**6, n), rng.integers(-most, most, n), rng.integers(0, most, n)
+    plain = [sum(order[a] < order[b] and x[a] >= x[b] and y[a] >= y[b] and (x[a] > x[b] or y[a] > y[b]) for a in range(n)) for b in range(n)]
+    assert K.earlier_dominating(order, x, y).tolist() == plain

@@ -37,3 +37,14 @@ def test_gather_by_index_settles_ties_by_the_file(spark, tmp_path):
         assert_equal(spark, con, str(tmp_path), QUERIES["gather_by_index"], sql)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_dominance_of_many_items_in_a_nation(spark, tmp_path):
+    """Forty thousand items of one nation are 800 million pairs; keys can be repeated, other columns null."""
+    odd = "SELECT * FROM (VALUES (7::BIGINT, 1::BIGINT, 0.5), (7, 2, 0.4), (3, 2, 9.0), (9, NULL, 1.0), (NULL, 2, 1.0), (11, 2, NULL)) t"
+    few = f"SELECT * FROM ({odd}) u(c_custkey, c_nationkey, c_acctbal) UNION ALL SELECT i % 700, i % 2 + 1, (i * 7919 % 1000 - 300)::DOUBLE FROM range(1500) t(i)"
+    check(spark, tmp_path, "dominance", customer=few)
+    duckdb.sql(f"COPY (SELECT i AS c_custkey, 1::BIGINT AS c_nationkey, (i * 104729 % 99991)::DOUBLE AS c_acctbal FROM range(40000) t(i)) TO '{tmp_path}/customer.parquet'")
+    found = QUERIES["dominance"](spark, str(tmp_path))
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() > 39_000

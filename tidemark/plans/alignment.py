@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators import align
+from tidemark.operators import kernels as K
 from tidemark.operators.robust import guarded_corr
 from tidemark.plans.registry import query
 from tidemark.tables import load, micros
@@ -314,9 +317,12 @@ SELECT b.ord, count(*) AS dominates FROM c a JOIN c b ON a.g = b.g AND a.ord < b
 def dominance(spark: SparkSession, d: str) -> DataFrame:
     """Earlier queue items of a nation that a later one dominates in both costs."""
     c = load(spark, d, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_nationkey").alias("g"), F.round("c_acctbal").cast("long").alias("x"), F.expr("c_custkey * 7919 % 1000").alias("y"))
-    a, b = c.alias("a"), c.alias("b")
-    on = (F.col("a.g") == F.col("b.g")) & (F.col("a.ord") < F.col("b.ord")) & (F.col("b.x") <= F.col("a.x")) & (F.col("b.y") <= F.col("a.y")) & ((F.col("b.x") < F.col("a.x")) | (F.col("b.y") < F.col("a.y")))
-    return a.join(b, on).groupBy(F.col("b.ord").alias("ord")).agg(F.count("*").alias("dominates"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"ord": pdf["ord"], "n": K.earlier_dominating(*(pdf[k].to_numpy(np.int64) for k in ("ord", "x", "y")))})
+
+    counts = K.grouped(c.dropna(), ["g"], run, "ord long, n long").where("n > 0")
+    return counts.groupBy("ord").agg(F.sum("n").alias("dominates"))
 
 
 @query("JN-21", "CN-11", sql="""
