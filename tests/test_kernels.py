@@ -214,3 +214,25 @@ def test_dominating_items_are_counted_without_pairs(n, most):
     order, x, y = rng.integers(0, max(n // 2, 1) if most < 10 else 10**6, n), rng.integers(-most, most, n), rng.integers(0, most, n)
     plain = [sum(order[a] < order[b] and x[a] >= x[b] and y[a] >= y[b] and (x[a] > x[b] or y[a] > y[b]) for a in range(n)) for b in range(n)]
     assert K.earlier_dominating(order, x, y).tolist() == plain
+
+
+def test_many_scenes_are_adjusted_as_one_by_one():
+    """Same steps, same rejections, with bad observations in some of the scenes."""
+    rng, n = np.random.default_rng(15), 9
+    k = np.broadcast_to(np.array([[1000.0, 0, 320], [0, 1000, 240], [0, 0, 1]]), (3, 3, 3))
+    turns = np.array([K.rotation(np.array([0, 0.1 * c, 0])) for c in range(3)])
+    shifts = np.array([[-0.5 * c, 0.0, 0.1 * c] for c in range(3)])
+    truth = rng.normal(size=(n, 21, 3)) * 0.4 + [0, 0, 5]
+    x = truth[:, None] @ turns.transpose(0, 2, 1) + shifts[:, None]
+    pixel = 1000 * x[..., :2] / x[..., 2:] + [320, 240] + rng.normal(size=(n, 3, 21, 2)) * 0.3
+    pixel[::2, 1, ::6] += 70
+    moved = np.concatenate([turns[:1], K.rotation(np.array([0.01, -0.02, 0.01])) @ turns[1:]])
+    shifted = shifts + 0.02 * np.arange(3)[:, None]
+    whole = lambda a: np.broadcast_to(a, (n, *a.shape))
+    _, _, _, used, before, after, converged = K.two_stage_adjust_many(whole(moved), whole(shifted), truth + 0.02, k, pixel)
+    camera, point = np.repeat(np.arange(3), 21), np.tile(np.arange(21), 3)
+    for i in range(n):
+        one = K.two_stage_adjust(list(zip(moved, shifted)), truth[i] + 0.02, k, camera, point, pixel[i].reshape(63, 2))
+        assert (one[2] == used[i].ravel()).all() and one[5] == converged[i]
+        np.testing.assert_allclose(before[i].ravel(), one[3], atol=1e-9)
+        assert np.median(after[i][used[i]]) == pytest.approx(np.median(one[4][one[2]]), rel=1e-5)

@@ -12,6 +12,8 @@ from tidemark.plans.registry import query
 from tidemark.tables import load
 
 DAY_US = 86_400_000_000
+#: Scenes that are adjusted together; some 10 MB.
+SCENES = 256
 
 
 def _daily(spark, d) -> DataFrame:
@@ -165,20 +167,26 @@ def bundle_adjustment(spark: SparkSession, d: str) -> DataFrame:
     """Cameras and joints of each vector moved off and adjusted in two stages from their observations (some of them bad)."""
     k = np.broadcast_to(np.array([[1000.0, 0, 320], [0, 1000, 240], [0, 0, 1]]), (3, 3, 3))
 
+    turns = np.array([K.rotation(np.array([0, 0.1 * c, 0])) for c in range(3)])
+    shifts = np.array([[-0.5 * c, 0.0, 0.1 * c] for c in range(3)])
+    moved = np.array([turns[0]] + [K.rotation(np.array([0.01, -0.02, 0.01]) * c) @ turns[c] for c in (1, 2)])
+    shifted = shifts + 0.02 * np.arange(3)[:, None]
+
     def run(batches):
         for pdf in batches:
-            rows = []
-            for vec, e in zip(pdf["vec_id"], pdf["embedding"]):
-                truth = np.asarray(e, float)[:63].reshape(21, 3) + [0, 0, 5]
-                poses = [(K.rotation(np.array([0, 0.1 * c, 0])), np.array([-0.5 * c, 0.0, 0.1 * c])) for c in range(3)]
-                camera, point = np.repeat(np.arange(3), 21), np.tile(np.arange(21), 3)
-                x = np.einsum("nij,nj->ni", np.array([p[0] for p in poses])[camera], truth[point]) + np.array([p[1] for p in poses])[camera]
-                pixel = 1000 * x[:, :2] / x[:, 2:] + [320, 240]
-                pixel[::17] += 60
-                moved = [poses[0]] + [(K.rotation(np.array([0.01, -0.02, 0.01]) * c) @ poses[c][0], poses[c][1] + 0.02 * c) for c in (1, 2)]
-                _, _, used, before, after, converged = K.two_stage_adjust(moved, truth + 0.02, k, camera, point, pixel)
-                rows.append((vec, int((~used).sum()), float(np.median(before)), float(np.median(after[used])), bool(converged)))
-            yield pd.DataFrame(rows, columns=["vec_id", "rejected", "before_px", "after_px", "converged"])
+            for at in range(0, len(pdf), SCENES):
+                part = pdf.iloc[at : at + SCENES]
+                n = len(part)
+                truth = np.stack(part["embedding"].to_numpy()).astype(float)[:, :63].reshape(n, 21, 3) + [0, 0, 5]
+                x = truth[:, None] @ turns.transpose(0, 2, 1) + shifts[:, None]
+                pixel = 1000 * x[..., :2] / x[..., 2:] + [320, 240]
+                pixel.reshape(n, 63, 2)[:, ::17] += 60
+                whole = lambda a: np.broadcast_to(a, (n, *a.shape))
+                _, _, _, used, before, after, converged = K.two_stage_adjust_many(whole(moved), whole(shifted), truth + 0.02, k, pixel)
+                rows = lambda a: a.reshape(n, 63)
+                every = np.ones((n, 63), bool)
+                yield pd.DataFrame({"vec_id": part["vec_id"].to_numpy(), "rejected": (~rows(used)).sum(axis=1), "before_px": K._medians(rows(before), every), "after_px": K._medians(rows(after), rows(used)), "converged": converged})
 
     vectors = load(spark, d, "embeddings").select("vec_id", "embedding")
-    return vectors.repartition("vec_id").mapInPandas(run, "vec_id long, rejected int, before_px double, after_px double, converged boolean")
+    tasks = 4 * spark.sparkContext.defaultParallelism  # a number of its own: few bytes are much work, and adaptive execution would join them in a task
+    return vectors.repartition(tasks, "vec_id").mapInPandas(run, "vec_id long, rejected int, before_px double, after_px double, converged boolean")
