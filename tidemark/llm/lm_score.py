@@ -7,8 +7,12 @@ and ones seen in training. A node's weighted probability is half its own Krichev
 product of its children's, the same node one byte deeper in the past; so a prediction mixes all depths with weights that
 the training data chose.
 
-Because contexts stop at a word's start, a word costs the same wherever it stands. The corpus is therefore gathered as
-counts of distinct words, grown with the input, and everything else is computed once for each distinct word:
+With across_words a context is the DEPTH bytes before a byte in the whole text, whatever words they belong to, and only
+the text's start is filled with spaces: (context, byte) is counted over whole texts, and a text's value is the sum over
+its bytes, looked up in a table of fixed size or, beyond that, joined. Words then serve the base only.
+
+Without it contexts stop at a word's start, and a word costs the same wherever it stands. The corpus is therefore gathered
+as counts of distinct words, grown with the input, and everything else is computed once for each distinct word:
 
 1. word counts, combined in each task before they are shuffled;
 2. counts of (context, byte) from the distinct words;
@@ -101,6 +105,89 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return words.select("word", "c").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
+#: Bytes of texts whose (context, byte) keys are made at once (a longer text by itself).
+CODED = 1 << 20
+
+
+def text_grams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """The (context, byte) keys of whole texts, given as their words, one text after another, and how many each has.
+    Each word is closed by a space, the text by the end symbol; contexts reach back over words to the text's start."""
+    coded = [b" " * DEPTH + b"".join(w + b" " for w in words) + b"\n" for words in texts]
+    sizes = np.array([len(c) - DEPTH for c in coded], np.int64)
+    data = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64)
+    keys = np.zeros(len(data) - DEPTH, np.int64)
+    for i in range(DEPTH + 1):
+        keys = keys << 8 | data[i : i + len(keys)]
+    inside = np.ones(len(data), bool)  # the spaces before a text are not coded
+    starts = np.cumsum(sizes + DEPTH) - sizes - DEPTH
+    for i in range(DEPTH):
+        inside[starts + i] = False
+    return keys[inside[DEPTH:]], sizes
+
+
+def _parts_of(texts: list[list[bytes]]):
+    """(first, last) of runs of texts that together have some CODED bytes."""
+    first = size = 0
+    for i, words in enumerate(texts):
+        size += sum(map(len, words)) + len(words)
+        if size >= CODED:
+            yield first, i + 1
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def text_gram_counts(docs: DataFrame) -> DataFrame:
+    """gram, c over whole training texts; grams of held-out texts come with 0."""
+
+    def run(batches):
+        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        for b in batches:
+            ids, texts = b.column(0).to_pylist(), [words_of(t.as_py()) for t in b.column(1)]
+            for lo, hi in _parts_of(texts):
+                held = np.array([held_out(d) for d in ids[lo:hi]])
+                grams, sizes = text_grams(texts[lo:hi])
+                weighed = np.repeat(~held, sizes)
+                for g, weight in ((grams[weighed], 1), (grams[~weighed], 0)):
+                    u, c = np.unique(g, return_counts=True)
+                    keys, counts = np.concatenate([keys, u]), np.concatenate([counts, c * weight])
+                if len(keys) > 4 * HELD:
+                    keys, counts = _summed(keys, counts)
+                    if len(keys) > 2 * HELD:
+                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "c"])
+                        keys, counts = keys[:0], counts[:0]
+        if len(keys):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, counts)], ["gram", "c"])
+
+    return docs.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+class GramTable:
+    """Values by key. A table of places by hash finds most keys at once, a search the others; every key asked for is there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
+        self.places = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.places[self._slots(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self.places[self._slots(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
+        at[other] = np.searchsorted(self.keys, keys[other])
+        return self.values[at]
+
+
 _gamma = np.frompyfunc(math.lgamma, 1, 1)
 
 
@@ -202,13 +289,17 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     return keyed.groupBy("pair").applyInPandas(score, "gram long, value double")
 
 
+def base_score(total: int, distinct: int):
+    return F.log10((F.col("c") + ALPHA) / F.lit(total + ALPHA * (distinct + 1)))
+
+
 def word_scores(words: DataFrame, scores: DataFrame, total: int, distinct: int) -> DataFrame:
     """word, c, base, value: the log10 probabilities of a word under the base and under the model.
 
     (context, byte) values are broadcast where their number, counted here, is within GRAM_LIMIT; else words are joined
     with them.
     """
-    base = F.log10((F.col("c") + ALPHA) / F.lit(total + ALPHA * (distinct + 1)))
+    base = base_score(total, distinct)
     if scores.count() > GRAM_LIMIT:
         keys = F.udf(lambda w: grams_of(bytes(w)), "array<long>")
         rows = words.select("word", "c", F.explode(keys("word")).alias("gram")).join(scores, "gram")
@@ -229,9 +320,11 @@ def word_scores(words: DataFrame, scores: DataFrame, total: int, distinct: int)
     return words.select("word", "c").mapInArrow(run, "word binary, c long, value double").select("word", "c", base.alias("base"), "value")
 
 
-def score_texts(docs: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for each row of docs.
 
+    across_words: contexts are of the whole text, not of a word.
+
     Null texts are empty: their one token is the end. A null id is the text "None". Repeated rows each get a row and each
     count in training. With no training text the base is uniform and every estimate is one half. An empty table gives
     an empty result; other columns are ignored.
@@ -244,9 +337,16 @@ def score_texts(docs: DataFrame) -> DataFrame:
     id_type = to_arrow_type(kind)
     words = cut(word_counts(docs), "words")
     sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    grams = cut(gram_counts(words), "grams")
+    grams = cut(text_gram_counts(docs) if across_words else gram_counts(words), "grams")
     scores = cut(gram_scores(grams), "gram-scores")
-    known = cut(word_scores(words, scores, sums.n, sums.v), "word-scores")
+    if across_words:
+        known = words.select("word", "c", base_score(sums.n, sums.v).alias("base"), F.lit(0.0).alias("value"))
+    else:
+        known = cut(word_scores(words, scores, sums.n, sums.v), "word-scores")
+    shared = None
+    if across_words and scores.count() <= GRAM_LIMIT:
+        values = scores.toArrow().sort_by("gram")
+        shared = spark.sparkContext.broadcast((values["gram"].to_numpy(), values["value"].to_numpy()))
     top = known.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
     frequent = spark.sparkContext.broadcast({bytes(w.as_py()): (c.as_py() > 0, b.as_py(), v.as_py()) for w, c, b, v in zip(top["word"], top["c"], top["base"], top["value"])})
 
@@ -254,43 +354,63 @@ def score_texts(docs: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         row, table = TaskContext.get().partitionId() << 40, frequent.value
-        end = table[b"\n"] if b"\n" in table else None
+        grams = GramTable(*shared.value) if shared is not None else None
         rows: list[tuple] = []
         for b in batches:
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                words, row = words_of(t.as_py()), row + 1
+            ids, texts = b.column(0).to_pylist(), [words_of(t.as_py()) for t in b.column(1)]
+            of_text = np.zeros(len(texts))
+            for lo, hi in _parts_of(texts) if across_words else ():
+                keys, sizes = text_grams(texts[lo:hi])
+                if grams is not None:
+                    of_text[lo:hi] = np.add.reduceat(grams.of(keys), np.cumsum(sizes) - sizes)
+                    continue
+                for i, g in enumerate(np.split(keys, np.cumsum(sizes)[:-1])):
+                    yield _gram_rows(row + 1 + lo + i, *np.unique(g, return_counts=True), id_type)
+            for d, words, of_grams in zip(ids, texts, of_text.tolist()):
+                row = row + 1
                 counted = Counter(words)
                 counted[b"\n"] = 1
-                n_known, base, value, size = 0, 0.0, 0.0, 0
+                n_known, base, value, size = 0, 0.0, of_grams, 0
                 for w, m in counted.items():
                     size += m * (len(w) + 1)
                     x = table.get(w)
                     if x is None:
-                        rows.append((row, None, None, None, None, None, None, None, w, m))
+                        rows.append((row, None, None, None, None, None, None, None, w, m, None))
                     else:
                         n_known += m * x[0]
                         base += m * x[1]
                         value += m * x[2]
-                rows.append((row, d, held_out(d), len(words) + 1, n_known, base, value, size - 1, None, None))
+                rows.append((row, d, held_out(d), len(words) + 1, n_known, base, value, size - 1, None, None, None))
                 if len(rows) > 50_000:
                     yield _batch(rows, id_type)
                     rows = []
-        del end
         if rows:
             yield _batch(rows, id_type)
 
-    parts = cut(docs.mapInArrow(run, f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, value double, n_bytes long, word binary, m long"), "parts")
+    parts = cut(docs.mapInArrow(run, f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, value double, n_bytes long, word binary, m long, gram long"), "parts")
     rare = parts.where("word is not null").select("row", "word", "m").join(known, "word")
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("r_known"), F.sum(F.col("m") * F.col("base")).alias("r_base"), F.sum(F.col("m") * F.col("value")).alias("r_value"))
-    out = parts.where("word is null").join(rare, "row", "left")
+    out = parts.where("word is null and gram is null").join(rare, "row", "left")
     score = F.col("value") + F.coalesce("r_value", F.lit(0.0))
+    if across_words and shared is None:
+        far = parts.where("gram is not null").select("row", "gram", "m").join(scores.withColumnRenamed("value", "g_value"), "gram")
+        out = out.join(far.groupBy("row").agg(F.sum(F.col("m") * F.col("g_value")).alias("g_value")), "row", "left")
+        score = score + F.col("g_value")
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("r_known", F.lit(0))).alias("n_known"), F.lit(sums.n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("r_base", F.lit(0.0))).alias("base_score"), score.alias("score"), (-score * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
+NAMES = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "value", "n_bytes", "word", "m", "gram"]
+
+
 def _batch(rows: list[tuple], id_type) -> pa.RecordBatch:
-    kinds = [pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.int64()]
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "value", "n_bytes", "word", "m"]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    kinds = [pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], NAMES)
+
+
+def _gram_rows(row: int, grams: np.ndarray, counts: np.ndarray, id_type) -> pa.RecordBatch:
+    none = lambda kind: pa.nulls(len(grams), kind)
+    kinds = [id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), row)), *map(none, kinds), pa.array(counts), pa.array(grams)], NAMES)

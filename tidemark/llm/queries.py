@@ -83,7 +83,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_texts(load(spark, sf_dir, "documents")).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+    return score_texts(load(spark, sf_dir, "documents"), across_words=True).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
