@@ -327,7 +327,7 @@ def shared_blocks(rows: DataFrame) -> DataFrame:
 
 def _filter_words(spark, values: DataFrame) -> np.ndarray:
     """A bitmap of FILTER_BITS bits over a column of hashes: constant size, built by a grouped bit_or."""
-    slot = F.expr(f"shiftrightunsigned({values.columns[0]}, {64 - FILTER_BITS})")
+    slot = F.call_function("shiftrightunsigned", values[values.columns[0]], F.lit(64 - FILTER_BITS))
     words = values.select(slot.alias("slot")).groupBy(F.expr("slot div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
@@ -369,15 +369,25 @@ def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: i
     return found.join(wanted, "h1", "left_semi").dropDuplicates(["h1", "h2"])
 
 
-def finer_rows(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(key, h1, label) in finer buckets, from rows (key, h1, label) in open ones: the key stands for two blocks, the old
-    one and its successor, which two sets may have equal or one bit apart. Sparse blocks' keys have their successor already."""
+def open_blocks(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(key, h1, following) of the blocks of opened rows that aren't sparse, and a few that a bitmap of constant size lets
+    through by chance: most blocks of a set whose bucket is open are in none that is."""
+    # both hashes are random bits, so that their exclusive or is one of the row
+    bitmap = docs.sparkSession.sparkContext.broadcast(_filter_words(docs.sparkSession, opened.select(F.col("key").bitwiseXOR(F.col("h1")))))
 
     def row(h1, h2, s):
         keys, following = successors(s, Bands(num, den))
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), h1)), pa.array(following.view(np.int64))], ["key", "h1", "following"])
+        keys = keys.view(np.int64)
+        some = _is_set(bitmap.value, keys ^ np.int64(h1))
+        return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(np.full(int(some.sum()), h1, np.int64)), pa.array(following[some].view(np.int64))], ["key", "h1", "following"])
+
+    return representatives(docs, classes, opened.select("h1").distinct(), width, row, "key long, h1 long, following long")
 
-    blocks = representatives(docs, classes, opened.select("h1").distinct(), width, row, "key long, h1 long, following long")
+
+def finer_rows(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(key, h1, label) in finer buckets, from rows (key, h1, label) in open ones: the key stands for two blocks, the old
+    one and its successor, which two sets may have equal or one bit apart. Sparse blocks' keys have their successor already."""
+    blocks = open_blocks(docs, classes, opened, width, num, den)
     blocks = blocks.join(opened.select("key", "h1").distinct(), ["key", "h1"], "left_semi").distinct()
     without = F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("following", b) == 1), lambda b: F.col("following").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
     parts = opened.join(blocks, ["key", "h1"], "left").withColumn("part", F.explode_outer(F.when(F.col("following").isNotNull(), F.concat(F.array("following"), without))))
