@@ -1,12 +1,15 @@
 """N-gram Jaccard join by parity sketches.
 
 Two texts link when the Jaccard similarity of their shingle sets reaches a threshold. For sets A and B that link, the
-symmetric difference has at most d = floor((|A| + |B|) * (1 - t) / (1 + t)) members. A parity sketch hashes every member
-to one of 64 * (d + 1) bits and flips it, so that the Hamming distance of two sketches is at most their symmetric
-difference. Of its d + 1 blocks of 64 bits at least one is therefore equal in both (pigeonhole); more precisely, around
-the ring of blocks there is one that is equal while it and its successor together differ in one bit at most (cycle
-lemma). Blocks with under three bits set, which texts would share by chance, are joined with the successor's block and
-each of its one-bit deletions. Documents are dealt by (size band, block, content), never by pairs of documents.
+symmetric difference has at most d = floor((|A| + |B|) * (1 - t) / (1 + t)) members. Every member is dealt by its hash to
+one of d + 1 blocks, of which at least one therefore holds the same members in both (pigeonhole); more precisely, around
+the ring of blocks there is one that is equal while it and its successor together differ in one member at most (cycle
+lemma). A block is known by the sum of its members' hashes, so that only texts with the same shingles share one, however
+many texts there are. Blocks with one member or none are joined with the successor's block and each way to take one
+member from it. Documents are dealt by (size band, block, content), never by pairs of documents.
+
+Parity sketches rule pairs out: they hash every member to a bit and flip it, so that the Hamming distance of two sketches
+is at most the sets' symmetric difference.
 
 Stages, each of which is bounded in memory:
 
@@ -42,8 +45,8 @@ from tidemark.llm.common import cut, drop, fresh, released
 U = np.uint64
 _M1, _M2, _GOLD = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 _P = U(0xD6E8FEB86659FD93)
-#: A block with fewer bits than this is joined with its successor.
-SPARSE = 3
+#: A block with fewer members than this is joined with its successor.
+SPARSE = 2
 #: Bits of the filter that keeps documents without candidates out of the verification; 8 MB at any input size.
 FILTER_BITS = 26
 BATCH_ROWS = 200_000
@@ -197,36 +200,52 @@ def parity_sketch(members: np.ndarray, blocks: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(U)
 
 
-def _blocks(members: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For pairs within the set's own band, and with the band before: the sketch's blocks, each one's key, each one's successor."""
+def _blocks(members: np.ndarray, bands: Bands) -> Iterator[tuple[np.ndarray, ...]]:
+    """For pairs within the set's own band, and with the band before: each block's key, sum and size, and each member's
+    part of the sums with the places where the blocks' members begin. members are sorted, so that a block has neighbours."""
     own = bands.of(len(members))
+    values = mix(members + _GOLD)
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(values)])
     for band in (own, own - 1):
         if band >= 0 and (blocks := bands.blocks(band)) >= 2:
-            words = parity_sketch(members, blocks)
-            yield words, mix(words + mix(np.arange(blocks, dtype=U) + times(band, _P))), np.roll(words, -1)
+            sizes = np.bincount(((members >> U(32)) * U(blocks) >> U(32)).astype(np.int64), minlength=blocks)
+            ends = np.cumsum(sizes)
+            words = sums[ends] - sums[ends - sizes]
+            yield mix(words + mix(np.arange(blocks, dtype=U) + times(band, _P))), words, sizes, values, ends - sizes
+
+
+def _parts(some: np.ndarray, words: np.ndarray, sizes: np.ndarray, values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For some blocks: the sum of the block after each, then that sum without each one of its members; and how many these are."""
+    after = (some + 1) % len(words)
+    counts = sizes[after] + 1
+    parts = np.repeat(words[after], counts)
+    place = np.arange(len(parts)) - np.repeat(np.cumsum(counts) - counts, counts)
+    without = np.flatnonzero(place)
+    parts[without] -= values[np.repeat(starts[after], counts)[without] + place[without] - 1]
+    return parts, counts
 
 
 @_wrapping
 def block_keys(members: np.ndarray, bands: Bands) -> list[np.ndarray]:
     """The bucket keys of a set: one for each block, more for sparse blocks. Equal sets need no bucket."""
     out = []
-    for words, tagged, following in _blocks(members, bands):
-        sparse = np.bitwise_count(words) < SPARSE
+    for tagged, words, sizes, values, starts in _blocks(members, bands):
+        sparse = sizes < SPARSE
         out.append(tagged[~sparse])
         if sparse.any():
-            tagged, following = tagged[sparse], following[sparse]
-            out.append(mix(tagged + mix(following + _GOLD)))
-            bit = np.flatnonzero(np.unpackbits(following.view(np.uint8), bitorder="little"))
-            row = bit >> 6
-            out.append(mix(tagged[row] + mix((following[row] ^ (U(1) << (bit & 63).astype(U))) + _GOLD)))
+            parts, counts = _parts(np.flatnonzero(sparse), words, sizes, values, starts)
+            out.append(mix(np.repeat(tagged[sparse], counts) + mix(parts + _GOLD)))
     return out
 
 
 @_wrapping
-def successors(members: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket key, the block after it) of every block that is not sparse."""
-    out = [(tagged[some], following[some]) for words, tagged, following in _blocks(members, bands) for some in [np.bitwise_count(words) >= SPARSE]]
-    return (np.concatenate([k for k, _ in out]), np.concatenate([x for _, x in out])) if out else (members[:0], members[:0])
+def successors(members: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bucket keys of the blocks that are not sparse, and what the block after each may be: parts, so many for each key."""
+    out = [(members[:0], members[:0], np.zeros(0, np.int64))]
+    for tagged, words, sizes, values, starts in _blocks(members, bands):
+        some = np.flatnonzero(sizes >= SPARSE)
+        out.append((tagged[some], *_parts(some, words, sizes, values, starts)))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -370,28 +389,28 @@ def member_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, width: i
 
 
 def open_blocks(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """(key, h1, following) of the blocks of opened rows that aren't sparse, and a few that a bitmap of constant size lets
-    through by chance: most blocks of a set whose bucket is open are in none that is."""
+    """(key, h1, parts) of the blocks of opened rows that aren't sparse, and a few that a bitmap of constant size lets
+    through by chance: most blocks of a set whose bucket is open are in none that is. parts: what the block after may be."""
     # both hashes are random bits, so that their exclusive or is one of the row
     bitmap = docs.sparkSession.sparkContext.broadcast(_filter_words(docs.sparkSession, opened.select(F.col("key").bitwiseXOR(F.col("h1")))))
 
     def row(h1, h2, s):
-        keys, following = successors(s, Bands(num, den))
+        keys, parts, counts = successors(s, Bands(num, den))
         keys = keys.view(np.int64)
         some = _is_set(bitmap.value, keys ^ np.int64(h1))
-        return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(np.full(int(some.sum()), h1, np.int64)), pa.array(following[some].view(np.int64))], ["key", "h1", "following"])
+        lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts[some])]).astype(np.int32), pa.array(parts[np.repeat(some, counts)].view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(np.full(int(some.sum()), h1, np.int64)), lists], ["key", "h1", "parts"])
 
-    return representatives(docs, classes, opened.select("h1").distinct(), width, row, "key long, h1 long, following long")
+    return representatives(docs, classes, opened.select("h1").distinct(), width, row, "key long, h1 long, parts array<long>")
 
 
 def finer_rows(docs: DataFrame, classes: DataFrame, opened: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(key, h1, label) in finer buckets, from rows (key, h1, label) in open ones: the key stands for two blocks, the old
-    one and its successor, which two sets may have equal or one bit apart. Sparse blocks' keys have their successor already."""
+    one and its successor, which two sets may have equal or one member apart. Sparse blocks' keys have their successor already."""
     blocks = open_blocks(docs, classes, opened, width, num, den)
     blocks = blocks.join(opened.select("key", "h1").distinct(), ["key", "h1"], "left_semi").distinct()
-    without = F.transform(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit("following", b) == 1), lambda b: F.col("following").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
-    parts = opened.join(blocks, ["key", "h1"], "left").withColumn("part", F.explode_outer(F.when(F.col("following").isNotNull(), F.concat(F.array("following"), without))))
-    return parts.select(F.when(F.col("following").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), "h1", "label").distinct()
+    parts = opened.join(blocks, ["key", "h1"], "left").withColumn("part", F.explode_outer("parts"))
+    return parts.select(F.when(F.col("part").isNull(), F.col("key")).otherwise(F.xxhash64("key", "part")).alias("key"), "h1", "label").distinct()
 
 
 def open_rows(rows: DataFrame) -> DataFrame:
