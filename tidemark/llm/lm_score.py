@@ -18,7 +18,7 @@ as counts of distinct words, grown with the input, and everything else is comput
 2. counts of (context, byte) from the distinct words;
 3. the tree, dealt out by the last two context bytes; depths 0 and 1 have at most 256 and 65,536 nodes and are shared;
 4. the log probability of every (context, byte) and from them of every word, in an equi-join;
-5. texts look up their words: a table of the most frequent ones, of fixed size, is broadcast; the others are joined.
+5. texts look up their words: a table of the most frequent ones, of bounded size, is broadcast; the others are joined.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 DEPTH = 5
-#: Words whose values are broadcast to all tasks, and (context, byte) values that are; both are fixed sizes.
-FREQUENT = 65_536
+#: The most words whose values are broadcast to all tasks, and (context, byte) values that are; both are fixed sizes.
+FREQUENT = 262_144
 GRAM_LIMIT = 4_000_000
 ALPHA = 0.1
 END = 0x0A
@@ -53,6 +54,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def words_of_column(texts: pa.Array) -> list[list[bytes]]:
+    return [(t or b"").lower().split() for t in texts.cast(pa.large_binary()).to_pylist()]
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, c (count in training texts; 0 for words of held-out texts only), and the row of the end symbol."""
 
@@ -64,8 +69,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([train[w] if w in train else 0 for w in words], pa.int64())], ["word", "c"])
 
         for b in batches:
-            for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                words = words_of(t.as_py())
+            for d, words in zip(b.column(0).to_pylist(), words_of_column(b.column(1))):
                 if held_out(d):
                     other.update(words)
                     other.add(b"\n")
@@ -105,32 +109,29 @@ def gram_counts(words: DataFrame) -> DataFrame:
     return words.select("word", "c").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-#: Bytes of texts whose (context, byte) keys are made at once (a longer text by itself).
-CODED = 1 << 20
+#: Bytes of texts whose (context, byte) keys are made at once (a longer text by itself), and the most texts, in bits.
+CODED = 1 << 21
+TEXT_BITS = 15
 
 
 def text_grams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """The (context, byte) keys of whole texts, given as their words, one text after another, and how many each has.
     Each word is closed by a space, the text by the end symbol; contexts reach back over words to the text's start."""
-    coded = [b" " * DEPTH + b"".join(w + b" " for w in words) + b"\n" for words in texts]
+    coded = [b" " * DEPTH + b" ".join(words) + (b" \n" if words else b"\n") for words in texts]
     sizes = np.array([len(c) - DEPTH for c in coded], np.int64)
-    data = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64)
-    keys = np.zeros(len(data) - DEPTH, np.int64)
-    for i in range(DEPTH + 1):
-        keys = keys << 8 | data[i : i + len(keys)]
-    inside = np.ones(len(data), bool)  # the spaces before a text are not coded
-    starts = np.cumsum(sizes + DEPTH) - sizes - DEPTH
-    for i in range(DEPTH):
-        inside[starts + i] = False
-    return keys[inside[DEPTH:]], sizes
+    data = b"".join(coded) + b"\0" * (7 - DEPTH)
+    # the eight bytes from each place on, as one number; the spaces before a text are not coded
+    keys = (np.ndarray(len(data) - 7, ">u8", data, strides=(1,)).astype(np.uint64) >> np.uint64(8 * (7 - DEPTH))).view(np.int64)
+    ends = np.cumsum(sizes + DEPTH) - DEPTH
+    return np.concatenate([keys[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]), sizes
 
 
 def _parts_of(texts: list[list[bytes]]):
-    """(first, last) of runs of texts that together have some CODED bytes."""
+    """(first, last) of runs of texts that together have some CODED bytes; not too many texts."""
     first = size = 0
     for i, words in enumerate(texts):
         size += sum(map(len, words)) + len(words)
-        if size >= CODED:
+        if size >= CODED or i + 1 - first == 1 << TEXT_BITS:
             yield first, i + 1
             first, size = i + 1, 0
     if first < len(texts):
@@ -141,23 +142,26 @@ def text_gram_counts(docs: DataFrame) -> DataFrame:
     """gram, c over whole training texts; grams of held-out texts come with 0."""
 
     def run(batches):
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        keys, counts, held_rows = [], [], 0
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), [words_of(t.as_py()) for t in b.column(1)]
+            ids, texts = b.column(0).to_pylist(), words_of_column(b.column(1))
             for lo, hi in _parts_of(texts):
                 held = np.array([held_out(d) for d in ids[lo:hi]])
                 grams, sizes = text_grams(texts[lo:hi])
                 weighed = np.repeat(~held, sizes)
                 for g, weight in ((grams[weighed], 1), (grams[~weighed], 0)):
                     u, c = np.unique(g, return_counts=True)
-                    keys, counts = np.concatenate([keys, u]), np.concatenate([counts, c * weight])
-                if len(keys) > 4 * HELD:
-                    keys, counts = _summed(keys, counts)
-                    if len(keys) > 2 * HELD:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["gram", "c"])
-                        keys, counts = keys[:0], counts[:0]
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, counts)], ["gram", "c"])
+                    keys.append(u)
+                    counts.append(c * weight)
+                    held_rows += len(u)
+                if held_rows > 4 * HELD:
+                    keys, counts = [[x] for x in _summed(np.concatenate(keys), np.concatenate(counts))]
+                    held_rows = len(keys[0])
+                    if held_rows > 2 * HELD:
+                        yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], ["gram", "c"])
+                        keys, counts, held_rows = [], [], 0
+        if held_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(np.concatenate(keys), np.concatenate(counts))], ["gram", "c"])
 
     return docs.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
@@ -169,23 +173,15 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-class GramTable:
-    """Values by key. A table of places by hash finds most keys at once, a search the others; every key asked for is there."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.shift = np.uint64(64 - max(4, (4 * len(keys)).bit_length()))
-        self.places = np.zeros(1 << (64 - int(self.shift)), np.int32)
-        self.places[self._slots(keys)] = np.arange(len(keys), dtype=np.int32)
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        at = self.places[self._slots(keys)]
-        other = np.flatnonzero(self.keys[at] != keys)
-        at[other] = np.searchsorted(self.keys, keys[other])
-        return self.values[at]
+def text_values(keys: np.ndarray, sizes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The sum of each text's values, from the keys of a few texts; table has sorted keys, every key asked for among them,
+    and their values. Keys are sorted first, each with its text's number below it, so that each is looked up once and in order."""
+    placed = keys << TEXT_BITS | np.repeat(np.arange(len(sizes)), sizes)
+    placed.sort()
+    keys = placed >> TEXT_BITS
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    found = table[1][np.searchsorted(table[0], keys[first])]
+    return np.bincount(placed & (1 << TEXT_BITS) - 1, np.repeat(found, np.diff(np.append(first, len(keys)))), len(sizes))
 
 
 _gamma = np.frompyfunc(math.lgamma, 1, 1)
@@ -347,45 +343,48 @@ def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
     if across_words and scores.count() <= GRAM_LIMIT:
         values = scores.toArrow().sort_by("gram")
         shared = spark.sparkContext.broadcast((values["gram"].to_numpy(), values["value"].to_numpy()))
-    top = known.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
-    frequent = spark.sparkContext.broadcast({bytes(w.as_py()): (c.as_py() > 0, b.as_py(), v.as_py()) for w, c, b, v in zip(top["word"], top["c"], top["base"], top["value"])})
+    least = least_frequent(words)
+    top = known.where(F.lit(False) if least is None else F.col("c") >= least).toArrow()
+    by_word = lambda c: dict(zip(top["word"].to_pylist(), top[c].to_pylist()))
+    frequent = spark.sparkContext.broadcast((by_word("base"), None if across_words else by_word("value")))
+    unknown = math.log10(ALPHA / (sums.n + ALPHA * (sums.v + 1)))
 
     def run(batches):
         from pyspark import TaskContext
 
-        row, table = TaskContext.get().partitionId() << 40, frequent.value
-        grams = GramTable(*shared.value) if shared is not None else None
-        rows: list[tuple] = []
+        row, (bases, values) = (TaskContext.get().partitionId() << 40) + 1, frequent.value
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), [words_of(t.as_py()) for t in b.column(1)]
+            ids, texts = b.column(0), words_of_column(b.column(1))
             of_text = np.zeros(len(texts))
             for lo, hi in _parts_of(texts) if across_words else ():
                 keys, sizes = text_grams(texts[lo:hi])
-                if grams is not None:
-                    of_text[lo:hi] = np.add.reduceat(grams.of(keys), np.cumsum(sizes) - sizes)
+                if shared is not None:
+                    of_text[lo:hi] = text_values(keys, sizes, shared.value)
                     continue
                 for i, g in enumerate(np.split(keys, np.cumsum(sizes)[:-1])):
-                    yield _gram_rows(row + 1 + lo + i, *np.unique(g, return_counts=True), id_type)
-            for d, words, of_grams in zip(ids, texts, of_text.tolist()):
-                row = row + 1
-                counted = Counter(words)
-                counted[b"\n"] = 1
-                n_known, base, value, size = 0, 0.0, of_grams, 0
-                for w, m in counted.items():
-                    size += m * (len(w) + 1)
-                    x = table.get(w)
-                    if x is None:
-                        rows.append((row, None, None, None, None, None, None, None, w, m, None))
-                    else:
-                        n_known += m * x[0]
-                        base += m * x[1]
-                        value += m * x[2]
-                rows.append((row, d, held_out(d), len(words) + 1, n_known, base, value, size - 1, None, None, None))
-                if len(rows) > 50_000:
-                    yield _batch(rows, id_type)
-                    rows = []
-        if rows:
-            yield _batch(rows, id_type)
+                    grams, m = np.unique(g, return_counts=True)
+                    yield _rows(len(grams), id_type, row=np.full(len(grams), row + lo + i), m=m, gram=grams)
+            for words in texts:
+                words.append(b"\n")
+            size = np.array([len(words) for words in texts], np.int64)
+            of, every = np.repeat(np.arange(len(texts)), size), list(chain.from_iterable(texts))
+            base = np.fromiter(map(bases.get, every, repeat(math.nan)), np.float64, len(every))
+            rare = np.isnan(base)
+            summed = lambda x: np.bincount(of, np.where(rare, 0.0, x), len(texts))
+            if values is not None:
+                of_text += summed(np.fromiter(map(values.get, every, repeat(math.nan)), np.float64, len(every)))
+            # the base is above that of unknown words where a word is known; half the step to a count of one is rounding's
+            n_known = summed(base > unknown + math.log10((1 + ALPHA) / ALPHA) / 2).astype(np.int64)
+            n_bytes = np.bincount(of, np.fromiter(map(len, every), np.int64, len(every)) + 1, len(texts)).astype(np.int64) - 1
+            held = np.array([held_out(d) for d in ids.to_pylist()], bool)
+            if len(texts):
+                yield _rows(len(texts), id_type, row=np.arange(row, row + len(texts)), doc_id=ids, held_out=held, n_tokens=size, n_known=n_known, base=summed(base), value=of_text, n_bytes=n_bytes)
+            at = np.flatnonzero(rare)
+            counted = Counter(zip((of[at] + row).tolist(), [every[i] for i in at.tolist()]))
+            if counted:
+                rows, words = zip(*counted)
+                yield _rows(len(rows), id_type, row=rows, word=words, m=list(counted.values()))
+            row += len(texts)
 
     parts = cut(docs.mapInArrow(run, f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, value double, n_bytes long, word binary, m long, gram long"), "parts")
     rare = parts.where("word is not null").select("row", "word", "m").join(known, "word")
@@ -402,15 +401,21 @@ def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
     )
 
 
-NAMES = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "value", "n_bytes", "word", "m", "gram"]
-
-
-def _batch(rows: list[tuple], id_type) -> pa.RecordBatch:
-    kinds = [pa.int64(), id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], NAMES)
-
-
-def _gram_rows(row: int, grams: np.ndarray, counts: np.ndarray, id_type) -> pa.RecordBatch:
-    none = lambda kind: pa.nulls(len(grams), kind)
-    kinds = [id_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), row)), *map(none, kinds), pa.array(counts), pa.array(grams)], NAMES)
+def least_frequent(words: DataFrame) -> int | None:
+    """The least count of the most frequent words, so that FREQUENT words at most have it; None if the first are too many.
+    Counts are binned by their logarithm, which makes some hundred bins."""
+    bins = words.groupBy(F.floor(F.log2(F.col("c") + 1) * 16).alias("bin")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
+    least, n = None, 0
+    for b in sorted(bins, key=lambda b: -b.bin):
+        n += b.n
+        if n > FREQUENT:
+            break
+        least = b.least
+    return least
+
+
+def _rows(n: int, id_type, **columns) -> pa.RecordBatch:
+    """n rows with these columns; the others are null."""
+    kinds = {"row": pa.int64(), "doc_id": id_type, "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "value": pa.float64(), "n_bytes": pa.int64(), "word": pa.binary(), "m": pa.int64(), "gram": pa.int64()}
+    arrays = [pa.nulls(n, kind) if (c := columns.get(name)) is None else c if isinstance(c, pa.Array) else pa.array(c, kind) for name, kind in kinds.items()]
+    return pa.RecordBatch.from_arrays(arrays, list(kinds))
