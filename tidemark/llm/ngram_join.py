@@ -373,7 +373,7 @@ def representatives(docs: DataFrame, classes: DataFrame, wanted: DataFrame, widt
             for at in range(0, len(hit), 500):
                 found = [rows(*_set_id(s), s) for s in shingle_sets(texts.take(pa.array(hit[at : at + 500])), width) if len(s)]
                 if found:
-                    yield pa.Table.from_batches(found).combine_chunks().to_batches()[0]
+                    yield from pa.Table.from_batches(found).combine_chunks().to_batches()
 
     return docs.select(F.xxhash64("doc_id").alias("rep"), "text").mapInArrow(released(run), schema)
 
