@@ -37,3 +37,15 @@ def test_sets_that_link_agree_in_two_blocks():
                 pairs.append(finer | {(k, None) for k in np.setdiff1d(keys_of(s, bands), key).tolist()})
             assert pairs[0] & pairs[1]
         assert linked > 300
+
+
+def test_documents_without_an_open_block(spark):
+    from pyspark.sql import functions as F
+
+    from tests.llm.test_operators import DOCS
+
+    docs = spark.createDataFrame([(d, " ".join(f"w{d}x{i}" for i in range(100))) for d in range(3)], DOCS)
+    classes = J.set_ids(docs, 4).groupBy("h1", "h2").agg(F.min(F.xxhash64("doc_id")).alias("rep"))
+    opened = classes.select(F.lit(1).cast("long").alias("key"), "h1", F.struct("h1", "h2").alias("label")).localCheckpoint()
+    assert J.open_blocks(docs, classes, opened, 4, 85, 100).count() == 0
+    assert J.finer_rows(docs, classes, opened, 4, 85, 100).select("key").collect() == [(1,)] * 3
