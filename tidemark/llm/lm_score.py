@@ -9,7 +9,8 @@ the training data chose.
 
 With across_words a context is the DEPTH bytes before a byte in the whole text, whatever words they belong to, and only
 the text's start is filled with spaces: (context, byte) is counted over whole texts, and a text's value is the sum over
-its bytes, looked up in a table of fixed size or, beyond that, joined. Words then serve the base only.
+its bytes, looked up in a table of the most frequent ones, of bounded size; only the others are joined. Words then serve
+the base only.
 
 Without it contexts stop at a word's start, and a word costs the same wherever it stands. The corpus is therefore gathered
 as counts of distinct words, grown with the input, and everything else is computed once for each distinct word:
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut
+from tidemark.llm.common import cut, released
 
 DEPTH = 5
 #: The most words whose values are broadcast to all tasks, and (context, byte) values that are; both are fixed sizes.
@@ -82,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if train or other:
             yield out()
 
-    return docs.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(released(run), "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def grams_of(word: bytes) -> list[int]:
@@ -112,6 +113,10 @@ def gram_counts(words: DataFrame) -> DataFrame:
 #: Bytes of texts whose (context, byte) keys are made at once (a longer text by itself), and the most texts, in bits.
 CODED = 1 << 21
 TEXT_BITS = 15
+#: Texts that are scored at once, beside the broadcast tables.
+TEXTS = 500
+#: Above all keys; ends a table in which some may be missing.
+BEYOND = (1 << 63) - 1
 
 
 def text_grams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +168,7 @@ def text_gram_counts(docs: DataFrame) -> DataFrame:
         if held_rows:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(np.concatenate(keys), np.concatenate(counts))], ["gram", "c"])
 
-    return docs.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(released(run), "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,15 +178,22 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts[order], first)
 
 
-def text_values(keys: np.ndarray, sizes: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The sum of each text's values, from the keys of a few texts; table has sorted keys, every key asked for among them,
-    and their values. Keys are sorted first, each with its text's number below it, so that each is looked up once and in order."""
-    placed = keys << TEXT_BITS | np.repeat(np.arange(len(sizes)), sizes)
+def text_values(keys: np.ndarray, sizes: np.ndarray, table: tuple[np.ndarray, np.ndarray], missed: list | None = None) -> np.ndarray:
+    """The sum of each text's values, from the keys of a few texts; table has sorted keys and their values. Keys are sorted
+    first, each with its text's number below it, so that each is looked up once and in order. Keys that the table, which
+    then ends with BEYOND, doesn't have add nothing; missed gets them: the texts' numbers, the keys, and how often."""
+    placed = keys << TEXT_BITS
+    placed |= np.repeat(np.arange(len(sizes)), sizes)
     placed.sort()
     keys = placed >> TEXT_BITS
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    found = table[1][np.searchsorted(table[0], keys[first])]
-    return np.bincount(placed & (1 << TEXT_BITS) - 1, np.repeat(found, np.diff(np.append(first, len(keys)))), len(sizes))
+    at = np.searchsorted(table[0], keys[first])
+    found, far, times = table[1][at], table[0][at] != keys[first], np.diff(np.append(first, len(keys)))
+    if missed is not None and far.any():
+        found = np.where(far, 0.0, found)
+        rest, m = np.unique(placed[np.repeat(far, times)], return_counts=True)
+        missed.append((rest & (1 << TEXT_BITS) - 1, rest >> TEXT_BITS, m))
+    return np.bincount(placed & (1 << TEXT_BITS) - 1, np.repeat(found, times), len(sizes))
 
 
 _gamma = np.frompyfunc(math.lgamma, 1, 1)
@@ -244,7 +256,7 @@ def deep_part(gram: np.ndarray, counts: np.ndarray) -> tuple[list[Level], np.nda
 
 
 def gram_scores(grams: DataFrame) -> DataFrame:
-    """gram, log10 probability of the byte in its context, for every gram (those of held-out words too)."""
+    """gram, log10 probability of the byte in its context, and c, for every gram (those of held-out words too)."""
     spark = grams.sparkSession
     pair = F.expr("shiftright(gram, 8) & 65535")
 
@@ -280,9 +292,9 @@ def gram_scores(grams: DataFrame) -> DataFrame:
             at = level.at(context & ((1 << 8 * d) - 1), nodes)
             own = level.predict(at, bits)
             p = own if p is None else level.weight[at] * own + (1 - level.weight[at]) * p
-        return pd.DataFrame({"gram": gram, "value": np.log10(p).sum(axis=1)})
+        return pd.DataFrame({"gram": gram, "value": np.log10(p).sum(axis=1), "c": pdf["c"]})
 
-    return keyed.groupBy("pair").applyInPandas(score, "gram long, value double")
+    return keyed.groupBy("pair").applyInPandas(score, "gram long, value double, c long")
 
 
 def base_score(total: int, distinct: int):
@@ -338,11 +350,15 @@ def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
     if across_words:
         known = words.select("word", "c", base_score(sums.n, sums.v).alias("base"), F.lit(0.0).alias("value"))
     else:
-        known = cut(word_scores(words, scores, sums.n, sums.v), "word-scores")
-    shared = None
-    if across_words and scores.count() <= GRAM_LIMIT:
-        values = scores.toArrow().sort_by("gram")
-        shared = spark.sparkContext.broadcast((values["gram"].to_numpy(), values["value"].to_numpy()))
+        known = cut(word_scores(words, scores.select("gram", "value"), sums.n, sums.v), "word-scores")
+    shared, far = None, None
+    if across_words:
+        least = least_frequent(scores, GRAM_LIMIT)
+        values = scores.where(F.lit(False) if least is None else F.col("c") >= least).select("gram", "value").toArrow().sort_by("gram")
+        if len(values) < scores.count():
+            far = scores.where(F.lit(True) if least is None else F.col("c") < least).select("gram", F.col("value").alias("g_value"))
+        shared = spark.sparkContext.broadcast((np.append(values["gram"].to_numpy(), BEYOND), np.append(values["value"].to_numpy(), 0.0)))
+        del values
     least = least_frequent(words)
     top = known.where(F.lit(False) if least is None else F.col("c") >= least).toArrow()
     by_word = lambda c: dict(zip(top["word"].to_pylist(), top[c].to_pylist()))
@@ -357,13 +373,10 @@ def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
             ids, texts = b.column(0), words_of_column(b.column(1))
             of_text = np.zeros(len(texts))
             for lo, hi in _parts_of(texts) if across_words else ():
-                keys, sizes = text_grams(texts[lo:hi])
-                if shared is not None:
-                    of_text[lo:hi] = text_values(keys, sizes, shared.value)
-                    continue
-                for i, g in enumerate(np.split(keys, np.cumsum(sizes)[:-1])):
-                    grams, m = np.unique(g, return_counts=True)
-                    yield _rows(len(grams), id_type, row=np.full(len(grams), row + lo + i), m=m, gram=grams)
+                missed = []
+                of_text[lo:hi] = text_values(*text_grams(texts[lo:hi]), shared.value, missed)
+                for i, grams, m in missed:
+                    yield _rows(len(grams), id_type, row=row + lo + i, m=m, gram=grams)
             for words in texts:
                 words.append(b"\n")
             size = np.array([len(words) for words in texts], np.int64)
@@ -386,29 +399,29 @@ def score_texts(docs: DataFrame, across_words: bool = False) -> DataFrame:
                 yield _rows(len(rows), id_type, row=rows, word=words, m=list(counted.values()))
             row += len(texts)
 
-    parts = cut(docs.mapInArrow(run, f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, value double, n_bytes long, word binary, m long, gram long"), "parts")
+    parts = cut(docs.mapInArrow(released(run), f"row long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, base double, value double, n_bytes long, word binary, m long, gram long"), "parts", batch=TEXTS)
     rare = parts.where("word is not null").select("row", "word", "m").join(known, "word")
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("m")).otherwise(0)).alias("r_known"), F.sum(F.col("m") * F.col("base")).alias("r_base"), F.sum(F.col("m") * F.col("value")).alias("r_value"))
     out = parts.where("word is null and gram is null").join(rare, "row", "left")
     score = F.col("value") + F.coalesce("r_value", F.lit(0.0))
-    if across_words and shared is None:
-        far = parts.where("gram is not null").select("row", "gram", "m").join(scores.withColumnRenamed("value", "g_value"), "gram")
+    if far is not None:
+        far = parts.where("gram is not null").select("row", "gram", "m").join(far, "gram")
         out = out.join(far.groupBy("row").agg(F.sum(F.col("m") * F.col("g_value")).alias("g_value")), "row", "left")
-        score = score + F.col("g_value")
+        score = score + F.coalesce("g_value", F.lit(0.0))
     return out.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("r_known", F.lit(0))).alias("n_known"), F.lit(sums.n).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("r_base", F.lit(0.0))).alias("base_score"), score.alias("score"), (-score * math.log2(10) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
-def least_frequent(words: DataFrame) -> int | None:
-    """The least count of the most frequent words, so that FREQUENT words at most have it; None if the first are too many.
-    Counts are binned by their logarithm, which makes some hundred bins."""
-    bins = words.groupBy(F.floor(F.log2(F.col("c") + 1) * 16).alias("bin")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
+def least_frequent(counted: DataFrame, limit: int | None = None) -> int | None:
+    """The least count c of the most frequent rows, so that limit rows (FREQUENT words) at most have it; None if the first
+    are too many. Counts are binned by their logarithm, which makes some hundred bins."""
+    bins = counted.groupBy(F.floor(F.log2(F.col("c") + 1) * 16).alias("bin")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()
     least, n = None, 0
     for b in sorted(bins, key=lambda b: -b.bin):
         n += b.n
-        if n > FREQUENT:
+        if n > (FREQUENT if limit is None else limit):
             break
         least = b.least
     return least
